@@ -20,15 +20,20 @@ PLAIN_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
 SCIENTIFIC_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]+$"
 
 
+def has_company_id(col: Column) -> Column:
+    """False for NULL and for the texts that stand for a missing id."""
+    return col.isNotNull() & ~F.trim(col.cast("string")).isin(*NULL_IDS)
+
+
 def normalize_company_id(col: Column) -> Column:
     """One text form per company: trimmed, missing markers NULL, numbers as integer text."""
     text = F.trim(col.cast("string"))
-    text = F.when(~text.isin(*NULL_IDS), text)
-    whole = F.regexp_extract(text, r"^([+-]?[0-9]*)", 1)
-    whole = F.when(whole.isin("", "+", "-"), F.lit("0")).otherwise(whole)
+    whole = F.regexp_extract(text, "^[+-]?[0-9]+", 0).try_cast("decimal(38,0)").cast("string")
+    scientific = text.try_cast("double").try_cast("bigint").cast("string")
     return (
-        F.when(text.rlike(PLAIN_NUMBER), whole.try_cast("decimal(38,0)").cast("string"))
-        .when(text.rlike(SCIENTIFIC_NUMBER), F.coalesce(text.try_cast("double").try_cast("bigint").cast("string"), text))
+        F.when(text.isin(*NULL_IDS), None)
+        .when(text.rlike("^[+-]?[0-9]+([.][0-9]*)?$"), F.coalesce(whole, text))
+        .when(text.rlike(SCIENTIFIC_NUMBER), F.coalesce(scientific, text))
         .otherwise(text)
     )
 

@@ -6,9 +6,9 @@ aggregation that groups the rows, so it adds no shuffle of its own.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..errors import ValidationError
@@ -22,21 +22,29 @@ KEYS = ["companyId", WEEK]
 MAX_PIVOT_COLUMNS = 2000
 
 
-def pivot_values(df: DataFrame, column: str) -> list[str]:
-    """Sorted distinct values of a column that is to become column names.
+def named_labels(df: DataFrame, labels: Sequence[str], names: Sequence[Column]) -> list[Row]:
+    """Distinct labels with the column names derived from them, in name order.
 
-    The list is bounded by the catalogue behind it (plans, apps, statuses), not by rows.
-    Beyond any sensible table width this fails; the long form has no such limit.
+    They are bounded by the catalogue behind them (plans, apps, statuses), not by rows.
+    More than ``MAX_PIVOT_COLUMNS`` fails; the long form has no such limit.
     """
-    found = df.select(column).where(F.col(column).isNotNull()).distinct().limit(MAX_PIVOT_COLUMNS + 1).collect()
+    found = df.select(*labels).distinct().limit(MAX_PIVOT_COLUMNS + 1).select(*names, *labels).collect()
     if len(found) > MAX_PIVOT_COLUMNS:
-        raise ValidationError(f"More than {MAX_PIVOT_COLUMNS} values in '{column}'; use the long form.")
-    return sorted(r[0] for r in found)
+        raise ValidationError(f"More than {MAX_PIVOT_COLUMNS} labels in {', '.join(labels)}; use the long form.")
+    return sorted(found)
 
 
-def pivot_sums(column: str, value: str, names: Sequence[str]) -> list[Column]:
-    """One 0-filled conditional sum per column name."""
-    return [F.coalesce(F.sum(F.when(F.col(column) == n, F.col(value))), F.lit(0)).alias(n) for n in names]
+def conditional_sums(value: str, conditions: Mapping[str, Column]) -> list[Column]:
+    """One 0-filled sum per column name, over the rows that meet its condition."""
+    return [F.coalesce(F.sum(F.when(c, F.col(value))), F.lit(0)).alias(name) for name, c in conditions.items()]
+
+
+def _grouped(pairs: Iterable[tuple[str, str]]) -> dict[str, list[str]]:
+    """Labels per column name, in name order; labels with the same name share a column."""
+    columns: dict[str, list[str]] = {}
+    for name, label in sorted(pairs):
+        columns.setdefault(name, []).append(label)
+    return columns
 
 
 def prepare_workflow(df: DataFrame) -> DataFrame:
@@ -60,18 +68,19 @@ def prepare_billing(df: DataFrame) -> DataFrame:
     """Billable events in one column per reported conversation type."""
     rows = with_company_key(typed_export(df, ["billable_count"], "billing", ["conversationType"]))
     typed = rows.withColumn("conversationType", fold_conversation_type(F.col("conversationType")))
+    conditions = {t: F.col("conversationType") == t for t in REPORTED_TYPES}
     return (
         typed.where(F.col("conversationType").isNotNull())
         .groupBy(*KEYS)
-        .agg(*pivot_sums("conversationType", "billable_count", REPORTED_TYPES))
+        .agg(*conditional_sums("billable_count", conditions))
     )
 
 
-def prepare_connect(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def prepare_connect(df: DataFrame) -> DataFrame:
     """Licences in one column per plan, their total, and the list of plans in use.
 
     Labels that fall on the same column name are summed. Without any label column there
-    is only the total. ``columns`` fixes the plan columns instead of looking them up.
+    is only the total. Names are derived from the distinct labels, never row by row.
     """
     rows = with_company_key(typed_export(df, ["connect_licenses"], "connect"))
     label = connect_plan_label(rows)
@@ -79,59 +88,40 @@ def prepare_connect(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         return rows.groupBy(*KEYS).agg(F.sum("connect_licenses").alias("connect_licenses"))
 
     labelled = rows.withColumn("label", label)
-    if columns is None:
-        slugs = labelled.select(_plan_column(F.col("label")).alias("plan_column"))
-        columns = pivot_values(slugs, "plan_column")
+    column = F.concat(F.lit("connect_plan_"), slug(F.col("label"), "unknown_plan"))
+    named = named_labels(labelled, ["label"], [column])
+    conditions = {name: F.col("label").isin(labels) for name, labels in _grouped(map(tuple, named)).items()}
     per_label = labelled.groupBy(*KEYS, "label").agg(F.sum("connect_licenses").alias("licenses"))
     in_use = F.collect_set(F.when(F.col("licenses") > 0, F.col("label")))
-    return (
-        per_label.withColumn("plan_column", _plan_column(F.col("label")))
-        .groupBy(*KEYS)
-        .agg(
-            *pivot_sums("plan_column", "licenses", columns),
-            F.sum("licenses").alias("connect_licenses"),
-            F.array_join(F.array_sort(in_use), ", ").alias("connect_plan_list"),
-        )
+    return per_label.groupBy(*KEYS).agg(
+        *conditional_sums("licenses", conditions),
+        F.sum("licenses").alias("connect_licenses"),
+        F.array_join(F.array_sort(in_use), ", ").alias("connect_plan_list"),
     )
 
 
-def _plan_column(label: Column) -> Column:
-    return F.concat(F.lit("connect_plan_"), slug(label, "unknown_plan"))
-
+def prepare_kyc(df: DataFrame) -> DataFrame:
+    """Steps by stage and status, by stage, and in total, from one grouped pass.
 
-def _kyc_rows(df: DataFrame) -> DataFrame:
+    The three totals per stage and the grand total exist even when the data has none.
+    """
     rows = with_company_key(typed_export(df, ["kyc_steps_count"], "kyc", ["stepName", "status"]))
     tokens = rows.withColumns({c: clean_token(F.col(c)) for c in ("stepName", "status")})
     tokens = tokens.where(F.col("stepName").isNotNull() & F.col("status").isNotNull())
-    stage = F.concat(F.lit("kyc_"), slug(F.col("stepName"), "unknown_plan"))
-    return tokens.select(
-        *KEYS,
-        F.concat(stage, F.lit("_"), slug(F.col("status"), "unknown_plan")).alias("status_column"),
+    stage = F.concat(F.lit("kyc_"), slug(F.col("stepName"), "unknown"))
+    names = [
+        F.concat(stage, F.lit("_"), slug(F.col("status"), "unknown")).alias("status_column"),
         F.concat(stage, F.lit("_total")).alias("stage_column"),
-        "kyc_steps_count",
-    )
-
-
-def prepare_kyc(df: DataFrame, status_columns: Sequence[str] | None = None) -> DataFrame:
-    """Steps by stage and status, by stage, and in total, from one grouped pass.
-
-    The three totals per stage and the grand total exist even when the data has none.
-    """
-    rows = _kyc_rows(df)
-    if status_columns is None:
-        seen = rows.select("status_column", "stage_column").distinct()
-        pairs = seen.limit(MAX_PIVOT_COLUMNS + 1).collect()
-        if len(pairs) > MAX_PIVOT_COLUMNS:
-            raise ValidationError(f"More than {MAX_PIVOT_COLUMNS} stage and status pairs; use the long form.")
-        status_columns = sorted({p["status_column"] for p in pairs})
-        stage_columns = {p["stage_column"] for p in pairs}
-    else:
-        stage_columns = set()
-    stage_columns = sorted(stage_columns | {f"kyc_{s}_total" for s in KYC_STAGES})
-    return rows.groupBy(*KEYS).agg(
-        *pivot_sums("status_column", "kyc_steps_count", status_columns),
-        *pivot_sums("stage_column", "kyc_steps_count", stage_columns),
-        F.sum("kyc_steps_count").alias("kyc_total"),
+    ]
+    named = named_labels(tokens, ["stepName", "status"], names)
+    conditions: dict[str, Column] = {}
+    for row in named:
+        pair = (F.col("stepName") == row["stepName"]) & (F.col("status") == row["status"])
+        conditions[row["status_column"]] = conditions.get(row["status_column"], F.lit(False)) | pair
+    stages = _grouped({(r["stage_column"], r["stepName"]) for r in named} | {(f"kyc_{s}_total", s) for s in KYC_STAGES})
+    conditions |= {name: F.col("stepName").isin(steps) for name, steps in stages.items()}
+    return tokens.groupBy(*KEYS).agg(
+        *conditional_sums("kyc_steps_count", conditions), F.sum("kyc_steps_count").alias("kyc_total")
     )
 
 
@@ -161,12 +151,14 @@ def marketplace_long(installs: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def marketplace_wide(long: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def marketplace_wide(long: DataFrame) -> DataFrame:
     """One column per app and their total. Apps with the same column name are summed."""
-    if columns is None:
-        columns = pivot_values(long, "marketplace_col")
-    return long.groupBy(*KEYS).agg(
-        *pivot_sums("marketplace_col", "marketplace_install_count", columns),
+    rows = with_company_key(typed_export(long, ["marketplace_install_count"], "marketplace", ["app_name"]))
+    column = F.concat(F.lit("marketplace_app_"), slug(F.col("app_name"), "unknown_app"))
+    named = named_labels(rows, ["app_name"], [column])
+    conditions = {name: F.col("app_name").isin(apps) for name, apps in _grouped(map(tuple, named)).items()}
+    return rows.groupBy(*KEYS).agg(
+        *conditional_sums("marketplace_install_count", conditions),
         F.sum("marketplace_install_count").alias("marketplace_install_total"),
     )
 
