@@ -156,7 +156,7 @@ def facematch_scores(steps: DataFrame, facematch: DataFrame, start: date | str |
     )
     scores = facematch.where(F.col("similarity").isNotNull()).select(F.col("id").alias("facematchId"), "similarity")
     counts = per_match.join(scores, "facematchId").groupBy("month", "similarity").agg(F.sum("n").alias("n"))
-    quartiles = F.percentile("similarity", [0.25, 0.5, 0.75], "n")
+    quartiles = F.percentile("similarity", [0.25, 0.5, 0.75], F.col("n"))
     grouped = counts.groupBy("month").agg(
         F.sum("n").alias("matches"), F.sum(F.col("similarity") * F.col("n")).alias("total"), quartiles.alias("q")
     )

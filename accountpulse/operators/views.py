@@ -301,7 +301,7 @@ def value_counts(df: DataFrame, period: str, metric: str, value: date | None = N
 
 
 def _quantile(p: float) -> Column:
-    return F.percentile("v", p, "n")
+    return F.percentile("v", p, F.col("n"))
 
 
 def distribution_stats(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
@@ -331,7 +331,7 @@ def distribution_stats(df: DataFrame, period: str, metric: str, value: date | No
 def distribution_box(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges, and the number of companies outside."""
     counts = value_counts(df, period, metric, value)
-    quartiles = counts.agg(F.percentile("v", [0.25, 0.5, 0.75], "n").alias("q")).scalar()
+    quartiles = counts.agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q")).scalar()
     fenced = counts.withColumn("q", quartiles)
     q1, q3 = F.col("q")[0], F.col("q")[2]
     inside = F.col("v").between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))

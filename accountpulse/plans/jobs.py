@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass
 from datetime import date
 
@@ -83,7 +83,8 @@ def job_group(group: str) -> tuple[str, ...]:
     return JOB_GROUPS[group]
 
 
-def select_jobs(jobs: Mapping[str, DataFrame], names: tuple[str, ...]) -> dict[str, DataFrame]:
+def select_jobs(jobs: Mapping[str, DataFrame], names: Iterable[str]) -> dict[str, DataFrame]:
+    names = list(names)
     unknown = sorted(set(names) - set(jobs))
     if unknown:
         raise ValidationError(f"Unknown job: {', '.join(unknown)}")
