@@ -7,6 +7,9 @@ aggregation that groups the rows, so it adds no shuffle of its own.
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from itertools import chain
+from operator import add
 
 from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
@@ -80,7 +83,8 @@ def prepare_connect(df: DataFrame) -> DataFrame:
     """Licences in one column per plan, their total, and the list of plans in use.
 
     Labels that fall on the same column name are summed. Without any label column there
-    is only the total. Names are derived from the distinct labels, never row by row.
+    is only the total. Names are derived from the distinct labels, never row by row, and
+    the list is spelled out from the label sums, so one hash aggregation does it all.
     """
     rows = with_company_key(typed_export(df, ["connect_licenses"], "connect"))
     label = connect_plan_label(rows)
@@ -89,14 +93,18 @@ def prepare_connect(df: DataFrame) -> DataFrame:
 
     labelled = rows.withColumn("label", label)
     column = F.concat(F.lit("connect_plan_"), slug(F.col("label"), "unknown_plan"))
-    named = named_labels(labelled, ["label"], [column])
-    conditions = {name: F.col("label").isin(labels) for name, labels in _grouped(map(tuple, named)).items()}
-    per_label = labelled.groupBy(*KEYS, "label").agg(F.sum("connect_licenses").alias("licenses"))
-    in_use = F.collect_set(F.when(F.col("licenses") > 0, F.col("label")))
-    return per_label.groupBy(*KEYS).agg(
-        *conditional_sums("licenses", conditions),
-        F.sum("licenses").alias("connect_licenses"),
-        F.array_join(F.array_sort(in_use), ", ").alias("connect_plan_list"),
+    columns = _grouped(map(tuple, named_labels(labelled, ["label"], [column])))
+    labels = sorted(chain.from_iterable(columns.values()))
+    held = {label: F.col(f"__{i}") for i, label in enumerate(labels)}
+    sums = labelled.groupBy(*KEYS).agg(
+        *conditional_sums("connect_licenses", {f"__{i}": F.col("label") == x for i, x in enumerate(labels)}),
+        F.sum("connect_licenses").alias("connect_licenses"),
+    )
+    return sums.select(
+        *KEYS,
+        *[reduce(add, (held[x] for x in same)).alias(name) for name, same in columns.items()],
+        "connect_licenses",
+        F.concat_ws(", ", *[F.when(held[x] > 0, x) for x in labels]).alias("connect_plan_list"),
     )
 
 

@@ -87,13 +87,16 @@ def read_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     return exports
 
 
-def prepare_exports(exports: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Prepared frames in merge order; each export is checked against its contract."""
-    return {
-        name: prepare(require_columns(exports[name], EXPORTS[name].required, name))
-        for name, prepare in PREPARE.items()
-        if name in exports
-    }
+def prepare_exports(exports: Mapping[str, DataFrame], concurrent: int = 4) -> dict[str, DataFrame]:
+    """Prepared frames in merge order; each export is checked against its contract.
+
+    The checks and the look-up of plan, app and status names are small jobs of their own,
+    so they too are submitted a few at a time.
+    """
+    names = [n for n in PREPARE if n in exports]
+    with ThreadPoolExecutor(max_workers=concurrent) as pool:
+        prepared = pool.map(lambda n: PREPARE[n](require_columns(exports[n], EXPORTS[n].required, n)), names)
+        return dict(zip(names, prepared))
 
 
 def merge_prepared(prepared: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
