@@ -229,11 +229,12 @@ def connect_licenses_weekly(items: DataFrame, start: date, as_of: date) -> DataF
     )
     weekly = changes.groupBy(*plan, "week").agg(F.sum("qty").alias("qty"), F.sum("items").alias("items"))
     by_week = Window.partitionBy(*plan).orderBy("week")
+    up_to_now = by_week.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     levels = weekly.select(
         *plan,
         "week",
-        F.sum("qty").over(by_week).alias("connect_licenses"),
-        F.sum("items").over(by_week).alias("in_force"),
+        F.sum("qty").over(up_to_now).alias("connect_licenses"),
+        F.sum("items").over(up_to_now).alias("in_force"),
         F.lead("week").over(by_week).alias("next_week"),
     )
     return levels.where("in_force > 0").select(
