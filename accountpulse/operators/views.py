@@ -322,7 +322,7 @@ def distribution_stats(df: DataFrame, period: str, metric: str, value: date | No
         "companies",
         F.try_divide(s1.cast("double"), n.cast("double")).alias("mean"),
         "median",
-        F.sqrt(F.greatest(variance, F.lit(0.0))).alias("std"),
+        F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)).alias("std"),
         "min",
         "max",
     )

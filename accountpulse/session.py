@@ -24,6 +24,9 @@ def build_session(app: str = "accountpulse", master: str | None = None, **extra:
     return builder.getOrCreate()
 
 
+_local_folders: dict[str, str] = {}
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder that every executor can reach, taken from ``spark.checkpoint.dir``.
 
@@ -33,8 +36,9 @@ def shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder shared by the cluster.")
-    folder = tempfile.mkdtemp(prefix="accountpulse-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="accountpulse-")
+    return _local_folders[application]

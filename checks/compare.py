@@ -62,7 +62,7 @@ def main(folder: str = "/root/testdata/sf0.01", *names: str) -> int:
     spark = build_session(
         master="local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": os.environ.get("COMPARE_PARTITIONS", "8"),
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "12g",
