@@ -20,6 +20,10 @@ from .oracle import ORACLE
 from .registry import QUERIES
 
 
+# Digits that floating-point results must share; ``COMPARE_DIGITS=17`` asks for all of them.
+DIGITS = int(os.environ.get("COMPARE_DIGITS", "9"))
+
+
 def connect(folder: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -31,7 +35,7 @@ def _cell(value):
     if value is None or value is pd.NaT or (isinstance(value, float) and math.isnan(value)):
         return "~"
     if isinstance(value, float):
-        return f"{value:.9g}"
+        return f"{value:.{DIGITS}g}"
     if isinstance(value, pd.Timestamp):
         return value.isoformat()
     return str(value)
