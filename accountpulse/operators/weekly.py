@@ -90,11 +90,12 @@ def signups_weekly(
 # --- Identity verification --------------------------------------------------
 
 
-def _session_steps(steps: DataFrame, sessions: DataFrame, start: date | str, columns: Sequence[str]) -> DataFrame:
-    """Verification steps with the company of their session."""
-    owned = sessions.where(F.col("companyId").isNotNull()).select(F.col("id").alias("biometricId"), "companyId")
-    wanted = steps.where(F.col("stepName").isin(*KYC_STAGES) & since(steps, "createdAt", start))
-    return wanted.select("biometricId", "stepName", "status", "createdAt", *columns).join(owned, "biometricId")
+def _stage_steps(steps: DataFrame, start: date | str) -> DataFrame:
+    return steps.where(F.col("stepName").isin(*KYC_STAGES) & since(steps, "createdAt", start))
+
+
+def _owned_sessions(sessions: DataFrame) -> DataFrame:
+    return sessions.where(F.col("companyId").isNotNull()).select(F.col("id").alias("biometricId"), "companyId")
 
 
 def _company_name() -> Column:
@@ -102,10 +103,16 @@ def _company_name() -> Column:
 
 
 def kyc_steps_weekly(steps: DataFrame, sessions: DataFrame, start: date | str) -> DataFrame:
-    """Steps per company, week, stage and status."""
+    """Steps per company, week, stage and status.
+
+    The groups do not hold the session, so the join is followed by a shuffle anyway and
+    the adaptive skew join is free to split a session with very many steps.
+    """
     counts = (
-        _session_steps(steps, sessions, start, [])
-        .groupBy("companyId", week_end_sunday("createdAt").alias(WEEK), "stepName", "status")
+        _stage_steps(steps, start)
+        .select("biometricId", "stepName", "status", week_end_sunday("createdAt").alias(WEEK))
+        .join(_owned_sessions(sessions), "biometricId")
+        .groupBy("companyId", WEEK, "stepName", "status")
         .agg(F.count("*").alias("kyc_steps_count"))
     )
     return counts.select("companyId", _company_name(), WEEK, "stepName", "status", "kyc_steps_count")
@@ -117,21 +124,28 @@ def kyc_hil_government_weekly(
     """Sessions, government answers and human-review outcomes per company and week.
 
     Only document checks with an id can have an answer. They alone are shuffled for that
-    lookup; all other steps, the larger part and all with a NULL key, skip it. Counting
-    distinct sessions goes through one row per session and week, which already carries
-    the other sums: one aggregation before the final one and no row expansion.
+    lookup; all other steps, the larger part and all with a NULL key, skip it.
+
+    Steps then shrink to one row per session and week before they meet the sessions. The
+    steps of a session are written close together, so most of that happens on the map
+    side; a session with very many steps is a few rows in the join, and counting distinct
+    sessions is counting rows.
     """
-    columns = ["enableHumanInLoop", "documentCheckId"]
-    answers = doc_checks.select(F.col("id").alias("documentCheckId"), "entityResponse")
-    looked_up = F.col("stepName").eqNullSafe("document_check") & F.col("documentCheckId").isNotNull()
-    checked = steps.where(looked_up).join(answers, "documentCheckId", "left")
-    others = steps.where(~looked_up).withColumn(
-        "entityResponse", F.lit(None).cast(answers.schema["entityResponse"].dataType)
+    wanted = _stage_steps(steps, start).select(
+        "biometricId",
+        "stepName",
+        "status",
+        (F.col("enableHumanInLoop") == 1).alias("reviewed"),
+        "documentCheckId",
+        week_end_sunday("createdAt").alias(WEEK),
     )
-    rows = _session_steps(checked.unionByName(others), sessions, start, [*columns, "entityResponse"])
+    answers = doc_checks.select(F.col("id").alias("documentCheckId"), "entityResponse")
+    looked_up = (F.col("stepName") == "document_check") & F.col("documentCheckId").isNotNull()
+    checked = wanted.where(looked_up).join(answers, "documentCheckId", "left")
+    no_answer = F.lit(None).cast(answers.schema["entityResponse"].dataType)
+    others = wanted.where(~looked_up).withColumn("entityResponse", no_answer)
 
-    step, status = F.col("stepName"), F.col("status")
-    reviewed = F.col("enableHumanInLoop") == 1
+    step, status, reviewed = F.col("stepName"), F.col("status"), F.col("reviewed")
     conditions = {
         "gov_validated": (step == "document_check") & (F.col("entityResponse") == 1),
         "gov_not_validated": (step == "document_check") & (F.col("entityResponse") == 0),
@@ -141,11 +155,15 @@ def kyc_hil_government_weekly(
         conditions[f"hil_{short}_approved"] = reviewed & (step == stage) & (status == "Approved")
         conditions[f"hil_{short}_disapproved"] = reviewed & (step == stage) & (status == "Disapproved")
 
-    per_session = rows.groupBy("companyId", week_end_sunday("createdAt").alias(WEEK), "biometricId").agg(
-        *[_count_if(c).alias(name) for name, c in conditions.items()]
+    per_session = (
+        checked.unionByName(others)
+        .groupBy("biometricId", WEEK)
+        .agg(*[_count_if(c).alias(name) for name, c in conditions.items()])
     )
-    sums = per_session.groupBy("companyId", WEEK).agg(
-        F.count("*").alias("kyc_sessions_total"), *[F.sum(name).alias(name) for name in conditions]
+    sums = (
+        per_session.join(_owned_sessions(sessions), "biometricId")
+        .groupBy("companyId", WEEK)
+        .agg(F.count("*").alias("kyc_sessions_total"), *[F.sum(name).alias(name) for name in conditions])
     )
     return sums.select("companyId", _company_name(), WEEK, "kyc_sessions_total", *conditions)
 

@@ -8,6 +8,7 @@ One key in 97 is NULL, and dates, flags and enumerations are spread over the sou
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -137,12 +138,20 @@ def tables_of(name: str) -> list[str]:
 
 
 def standin(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    tables = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in tables_of(name)}
-    df = spark.sql(STANDINS[name], **tables)
-    if name == "workflow_logs":
+    return standins(spark, folder, [name])[name]
+
+
+def standins(spark: SparkSession, folder: str, names: Iterable[str]) -> dict[str, DataFrame]:
+    """Several stand-ins; a table that many of them read is opened once."""
+    names = list(names)
+    opened = {t: spark.read.parquet(f"{folder}/{t}.parquet") for t in {t for n in names for t in tables_of(n)}}
+    found = {n: spark.sql(STANDINS[n], **{t: opened[t] for t in tables_of(n)}) for n in names}
+    if "workflow_logs" in found:
         # The real collection nests the company in one document.
-        return df.selectExpr("named_struct('id', company_id, 'name', company_name) AS company", "createdAt", "total")
-    return df
+        found["workflow_logs"] = found["workflow_logs"].selectExpr(
+            "named_struct('id', company_id, 'name', company_name) AS company", "createdAt", "total"
+        )
+    return found
 
 
 def standin_sql(name: str) -> str:

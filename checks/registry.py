@@ -17,7 +17,7 @@ from accountpulse.plans.pipeline import merge_prepared, prepare_exports
 from accountpulse.session import shared_folder
 from accountpulse.sources.contracts import EXPORTS, struct_of
 from accountpulse.sources.readers import read_optional, read_source, read_with_fallback
-from accountpulse.sources.standins import standin
+from accountpulse.sources.standins import standin, standins
 from accountpulse.sources.writers import write_long, write_merged
 
 from .workspace import SETTINGS, export, exports, merged
@@ -40,7 +40,7 @@ def query(f: Query) -> Query:
 
 
 def _raw(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
-    return [standin(spark, folder, n) for n in names]
+    return list(standins(spark, folder, names).values())
 
 
 def _temporary(spark: SparkSession, name: str) -> str:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from accountpulse.plans.jobs import Settings, select_jobs, weekly_jobs
 from accountpulse.plans.pipeline import PREPARE, merge_prepared, prepare_exports, stage_exports
 from accountpulse.sources.staging import fingerprint, stage
-from accountpulse.sources.standins import standin, tables_of
+from accountpulse.sources.standins import standins, tables_of
 
 SETTINGS = Settings(start=date(1996, 1, 1), as_of=date(2024, 2, 4), product_id="connect")
 
@@ -40,7 +40,7 @@ _staged: dict[tuple, DataFrame] = {}
 
 
 def catalog(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    return {name: standin(spark, folder, name) for name in RUN_TABLES}
+    return standins(spark, folder, RUN_TABLES)
 
 
 def _version(spark: SparkSession, folder: str) -> tuple:

@@ -113,6 +113,20 @@ def test_hot_session_is_split_and_complete(spark):
         assert "SortMergeJoin(skew=true)" in plan(got)
 
 
+def test_hot_session_shrinks_before_the_join(spark):
+    steps = skewed_steps(spark)
+    sessions = spark.range(5000).select(F.concat(F.lit("s"), F.col("id")).alias("id"))
+    sessions = sessions.union(spark.range(1).select(F.lit("hot"))).withColumn("companyId", F.lit(1))
+    checks = spark.range(5).select(F.col("id").cast("string").alias("id"), F.lit(1).alias("entityResponse"))
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        got = weekly.kyc_hil_government_weekly(steps, sessions, checks, "2025-01-01")
+        text = plan(got)
+        row = got.first()
+    assert (row.kyc_sessions_total, row.hil_liveness_total, row.hil_liveness_approved) == (5001, 40000, 20000)
+    join = text.index("SortMergeJoin [biometricId")
+    assert "partial_sum" in text[join:], "steps are aggregated below the join"
+
+
 def test_hot_company_results_are_whole(spark):
     company = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 1000).cast("bigint")
     events = spark.range(30000).select(
