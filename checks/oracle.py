@@ -414,6 +414,8 @@ ORACLE = {
             FROM billing_events GROUP BY ALL"""
     ),
     "lenient_numbers": "SELECT event_id, CASE WHEN event_id % 3 = 0 THEN value ELSE 0 END AS amount FROM events",
+    "strict_export": f"""SELECT o_orderkey, {week('o_orderdate')} AS week_end_sunday, o_totalprice AS amount
+        FROM orders""",
     "install_companies": sql(
         f"""SELECT i.installation_id, i.mapping_user_id, m.companyId, i.app_name, i.week_end_sunday
             FROM {_MAPPED} WHERE m.companyId IS NOT NULL"""

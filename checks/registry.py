@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from accountpulse.functions.labels import series_label
 from accountpulse.functions.text import clean_token, fold_conversation_type, normalize_company_id, slug
-from accountpulse.functions.weeks import MONTH, WEEK
+from accountpulse.functions.weeks import MONTH, WEEK, week_end_sunday
 from accountpulse.operators import clean, identity, merge, period, prepare, quality, views, weekly
 from accountpulse.plans.pipeline import merge_prepared, prepare_exports
 from accountpulse.session import shared_folder
@@ -209,6 +209,18 @@ def lenient_numbers(spark, folder):
     return clean.to_numeric_fill0(mixed, ["amount"])
 
 
+@query
+def strict_export(spark, folder):
+    """Dates and amounts written as text pass the strict checks and are typed."""
+    orders = spark.read.parquet(f"{folder}/orders.parquet")
+    text = orders.select(
+        "o_orderkey",
+        F.date_format(week_end_sunday("o_orderdate"), "yyyy-MM-dd").alias(WEEK),
+        F.col("o_totalprice").cast("decimal(18,2)").cast("string").alias("amount"),
+    )
+    return clean.typed_export(text, ["amount"], "orders")
+
+
 def _installs(spark, folder):
     raw = _raw(spark, folder, "user_app_installations", "apps")
     return clean.drop_invalid_installs(weekly.marketplace_installations(*raw, START))
