@@ -6,12 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import table
 from .exact_dedup import duplicate_groups
+from .simhash import near_duplicates
 
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_groups(table(spark, folder, "documents"))
 
 
+def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_simhash": op4_simhash,
 }
