@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from .bpe import token_digests
 from .common import table
 from .exact_dedup import duplicate_groups
 from .simhash import near_duplicates
 
+#: Vocabulary file of the token queries.
+VOCABULARY = "word_bpe_49k.json"
+
 
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_groups(table(spark, folder, "documents"))
@@ -17,7 +22,12 @@ def op4_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return token_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
+
+
 QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
+    "op5_bpe": op5_bpe,
 }
