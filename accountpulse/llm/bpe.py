@@ -28,6 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
 from .common import column_lists
 
@@ -361,6 +362,5 @@ def tokenized(docs: DataFrame, path: str, text_column: str = "text") -> DataFram
     """``docs`` with a last column ``tokens`` (replacing one of that name), one row per input row."""
     rest = docs.drop("tokens")
     source = rest.select(F.col(text_column).alias("__text"), *rest.columns)
-    fields = [*rest.schema.fields]
-    out = type(rest.schema)(fields).add("tokens", "array<int>")
+    out = StructType([*rest.schema.fields, StructField("tokens", ArrayType(IntegerType()))])
     return source.mapInArrow(_token_batches(path), out)

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .bpe import token_digests
 from .common import table
+from .decontaminate import contaminated
 from .exact_dedup import duplicate_groups
+from .quality import assess, train
 from .simhash import near_duplicates
 
 #: Vocabulary file of the token queries.
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = train(docs, table(spark, folder, "labels"))
+    rated = assess(docs, model, host=F.col("source"), path=F.col("lang"))
+    names = {"__p": "evidence", "__host_rate": "host_rate", "__path_rate": "path_rate", "__score": "score", "__keep": "kept"}
+    return rated.select("doc_id", *(F.col(a).alias(b) for a, b in names.items()))
+
+
 def op3_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return duplicate_groups(table(spark, folder, "documents"))
 
@@ -26,8 +37,14 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 QUERIES = {
+    "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op7_decontamination": op7_decontamination,
 }
