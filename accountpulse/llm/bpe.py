@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
 
-from .common import column_lists
+from .common import column_lists, map_batches
 
 NONE = 1 << 62
 #: Characters of text that are normalised and cut into words at once, up to the next space.
@@ -344,7 +344,7 @@ def token_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_co
     """
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     out = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return source.mapInArrow(_digest_batches(path), out).withColumnRenamed("id", id_column)
+    return map_batches(source, _digest_batches(path), out).withColumnRenamed("id", id_column)
 
 
 def _token_batches(path: str) -> Callable:
@@ -363,4 +363,4 @@ def tokenized(docs: DataFrame, path: str, text_column: str = "text") -> DataFram
     rest = docs.drop("tokens")
     source = rest.select(F.col(text_column).alias("__text"), *rest.columns)
     out = StructType([*rest.schema.fields, StructField("tokens", ArrayType(IntegerType()))])
-    return source.mapInArrow(_token_batches(path), out)
+    return map_batches(source, _token_batches(path), out)

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import string
-from collections.abc import Iterable, Iterator
+import tempfile
+import zipfile
+from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,11 +25,44 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def fold(id_column: str, count: int) -> Column:
+    """Fold of an id: CRC-32 of its decimal text, modulo ``count``; null for a null id."""
+    return F.crc32(F.col(id_column).cast("string").cast("binary")) % count
+
+
 def width(spark: SparkSession) -> int:
     """Number of shuffle partitions of the session."""
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+_shipped: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Send this package's code to the executors, once per application."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = Path(__file__).resolve().parent.parent
+        path = Path(tempfile.mkdtemp(prefix="code-")) / f"{package.name}.zip"
+        with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as archive:
+            for file in sorted(package.rglob("*.py")):
+                archive.write(file, file.relative_to(package.parent))
+        context.addPyFile(str(path))
+        _shipped.add(context.applicationId)
+
+
+def map_batches(df: DataFrame, function: Callable, schema: object) -> DataFrame:
+    """``mapInArrow`` with this package's code at hand on every executor."""
+    _ship(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
+def map_groups(df: DataFrame, key: str, function: Callable, schema: object) -> DataFrame:
+    """``applyInArrow`` on groups of bounded size, with this package's code at hand."""
+    _ship(df.sparkSession)
+    return df.groupBy(key).applyInArrow(function, schema)
+
+
 def column_lists(batches: Iterable[pa.RecordBatch]) -> Iterator[list[list]]:
     """The columns of each Arrow batch as Python lists."""
     for batch in batches:

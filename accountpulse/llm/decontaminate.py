@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import map_batches
+
 #: Edits allowed per character of an item.
 RATE = 0.05
 #: Characters of item text in a block, on average.
@@ -164,7 +166,7 @@ def contaminated(
 
     source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     pairs = [
-        source.mapInArrow(search(block), "id long, item long, edits int")
+        map_batches(source, search(block), "id long, item long, edits int")
         for block in item_blocks(benchmark, item_column, item_text_column, block_chars)
     ]
     result = source.sparkSession.createDataFrame([], "id long, item long, edits int")
@@ -195,5 +197,5 @@ def drop_contaminated(
         return run
 
     for block in item_blocks(benchmark, item_column, item_text_column, block_chars):
-        docs = docs.select(F.col(text_column).alias("__text"), *docs.columns).mapInArrow(clean(block), docs.schema)
+        docs = map_batches(docs.select(F.col(text_column).alias("__text"), *docs.columns), clean(block), docs.schema)
     return docs

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
+from .common import map_batches
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 20_000
@@ -122,7 +123,7 @@ def train(
     rows = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text")).join(
         F.broadcast(chosen), "__id"
     )
-    parts = rows.mapInArrow(_feature_batches, "label int, x array<double>").collect()
+    parts = map_batches(rows, _feature_batches, "label int, x array<double>").collect()
     return fit([r["x"] for r in parts], [r["label"] for r in parts])
 
 
@@ -144,7 +145,7 @@ def with_evidence(docs: DataFrame, model: Classifier, text_column: str = "text",
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(p)], [*batch.schema.names[1:], name])
 
     source = docs.select(F.col(text_column).alias("__text"), *docs.columns)
-    return source.mapInArrow(run, type(docs.schema)([*docs.schema.fields]).add(name, "double"))
+    return map_batches(source, run, type(docs.schema)([*docs.schema.fields]).add(name, "double"))
 
 
 def _strength(sites: DataFrame) -> float:

@@ -6,8 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import language, toxicity
 from .bpe import token_digests
-from .common import table
+from .common import fold, table
 from .decontaminate import contaminated
 from .exact_dedup import duplicate_groups
 from .quality import assess, train
@@ -41,10 +42,24 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language.train(docs.filter(fold("doc_id", 4) != 2))
+    return language.identified(docs, model).withColumn("held_out", F.coalesce(fold("doc_id", 4) == 2, F.lit(False)))
+
+
+def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = toxicity.train(docs, table(spark, folder, "labels").filter(fold("doc_id", 5) != 0))
+    return toxicity.scored(docs, model).withColumn("held_out", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)))
+
+
 QUERIES = {
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
     "op7_decontamination": op7_decontamination,
+    "op9_language": op9_language,
+    "op10_toxicity": op10_toxicity,
 }

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import column_lists, width
+from .common import column_lists, map_batches, width
 from .components import components
 
 BITS = 64
@@ -100,7 +100,7 @@ def fingerprints(
     source = docs.select(
         F.col(id_column).cast("long").alias("id"), F.xxhash64(text_column).alias("digest"), F.col(text_column).alias("text")
     )
-    return source.mapInArrow(_fingerprint_batches(shingle), "id long, digest long, fp long")
+    return map_batches(source, _fingerprint_batches(shingle), "id long, digest long, fp long")
 
 
 def segments(distance: int, free: list[int]) -> list[list[int]]:
@@ -236,7 +236,7 @@ def _second_variants(rows: DataFrame, distance: int) -> DataFrame:
 
 def _linked(rows: DataFrame, distance: int, group: int) -> DataFrame:
     dealt = rows.repartition(width(rows.sparkSession), "key").sortWithinPartitions("key")
-    return stage(dealt.mapInArrow(_links_of_sorted(distance, group), LINK_ROWS), "near")
+    return stage(map_batches(dealt, _links_of_sorted(distance, group), LINK_ROWS), "near")
 
 
 def near_links(prints: DataFrame, distance: int = DISTANCE, group: int = GROUP) -> DataFrame:
