@@ -12,12 +12,17 @@ from .common import fold, table
 from .decontaminate import contaminated
 from .exact_dedup import duplicate_groups
 from .quality import assess, train
+from .repeats import repeated_spans
 from .simhash import near_duplicates
 
 #: Vocabulary file of the token queries.
 VOCABULARY = "word_bpe_49k.json"
 
 
+def op1_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    return repeated_spans(table(spark, folder, "documents"))
+
+
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = train(docs, table(spark, folder, "labels"))
@@ -55,6 +60,7 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_suffix_arrays": op1_suffix_arrays,
     "op2_quality": op2_quality,
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
