@@ -70,11 +70,12 @@ def least_in_windows(values: np.ndarray, size: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def window_hashes(data: bytes, span: int, gram: int) -> np.ndarray:
-    """Anchor hash of each window of ``span`` bytes; none where the text is shorter."""
+def window_hashes(data: bytes, span: int, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor hash of each window of ``span`` bytes and hash of each gram; none where the text is shorter."""
     if len(data) < span:
-        return np.zeros(0, np.uint64)
-    return least_in_windows(gram_hashes(np.frombuffer(data, np.uint8), gram), span - gram + 1)
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    grams = gram_hashes(np.frombuffer(data, np.uint8), gram)
+    return least_in_windows(grams, span - gram + 1), grams
 
 
 def _bytes(text: str | None) -> bytes:
@@ -90,17 +91,14 @@ def _cuts(least: np.ndarray) -> np.ndarray:
     return np.unique(np.concatenate([begins, [len(least)], *pieces]).astype(np.int64))
 
 
-def _anchors(least: np.ndarray, size: int) -> np.ndarray:
-    """Anchor hashes of one text; those that come at more than one place of it are there twice.
-
-    An anchor leads at most ``size`` windows, so a longer run has several equal anchors.
-    """
-    cuts = _cuts(least)
-    if len(cuts) < 2:
+def _anchors(least: np.ndarray, grams: np.ndarray) -> np.ndarray:
+    """Anchor hashes of one text; those of a gram that comes at more than one place are there twice."""
+    if not len(least):
         return np.zeros(0, np.int64)
-    own = least[cuts[:-1]].view(np.int64)
-    different, times = np.unique(own, return_counts=True)
-    return np.concatenate((different, different[(times > 1) | np.isin(different, own[np.diff(cuts) > size])]))
+    different = np.unique(least[_cuts(least)[:-1]])
+    at = np.minimum(np.searchsorted(different, grams), len(different) - 1)
+    times = np.bincount(at[different[at] == grams], minlength=len(different))
+    return np.concatenate((different, different[times > 1])).view(np.int64)
 
 
 def _row_facts(span: int, gram: int) -> Callable:
@@ -113,7 +111,7 @@ def _row_facts(span: int, gram: int) -> Callable:
                 sizes.append(len(data))
                 digests.append(digest.hexdigest())
                 keys.append(digest.digest()[:16])
-                hashes.append(_anchors(window_hashes(data, span, gram), span - gram + 1))
+                hashes.append(_anchors(*window_hashes(data, span, gram)))
             lists = pa.ListArray.from_arrays(
                 np.concatenate(([0], np.cumsum([len(h) for h in hashes]))).astype(np.int32), np.concatenate(hashes)
             )
@@ -136,7 +134,7 @@ def _segments(span: int, gram: int) -> Callable:
             held = 0
             for key, text, known in zip(keys, texts, wanted):
                 data = _bytes(text)
-                least = window_hashes(data, span, gram)
+                least, _ = window_hashes(data, span, gram)
                 cuts = _cuts(least)
                 own = least[cuts[:-1]].view(np.int64)
                 for i in np.flatnonzero(np.isin(own, np.array(known, np.int64))):
