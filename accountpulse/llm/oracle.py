@@ -11,4 +11,12 @@ ORACLE = {
                row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC NULLS LAST) = 1 AS kept,
                text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op6_warc": """
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS body FROM pages),
+             d AS (SELECT page_id, url, octet_length(encode(body)) AS size, sha256(body) AS digest FROM p),
+             g AS (SELECT *, CASE WHEN size >= 100 THEN min(page_id) OVER (PARTITION BY digest) END AS least FROM d)
+        SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+               CASE WHEN page_id <> least THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> least THEN least END AS refers_to, url
+        FROM g""",
 }

@@ -14,6 +14,7 @@ from .exact_dedup import duplicate_groups
 from .quality import assess, train
 from .repeats import repeated_spans
 from .simhash import near_duplicates
+from .warc import archived
 
 #: Vocabulary file of the token queries.
 VOCABULARY = "word_bpe_49k.json"
@@ -43,6 +44,10 @@ def op5_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return token_digests(table(spark, folder, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archived(table(spark, folder, "pages"))
+
+
 def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -65,6 +70,7 @@ QUERIES = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_simhash": op4_simhash,
     "op5_bpe": op5_bpe,
+    "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,

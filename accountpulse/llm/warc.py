@@ -57,9 +57,9 @@ def header(fields: dict[str, str]) -> bytes:
     return "\r\n".join(lines).encode("utf-8")
 
 
-def _name(page: int | None, record: int) -> str:
-    """Record identifier: the page's number where it has one, and the record's."""
-    return f"<urn:page:{'' if page is None else page}:{record}>"
+def _name(page: int | None, record: int | None = None) -> str:
+    """Record identifier: a response is named by its page, so that revisits can refer to it."""
+    return f"<urn:page:{'' if page is None else page}{'' if record is None else f':{record}'}>"
 
 
 def _page_of(name: str) -> int | None:
@@ -117,7 +117,7 @@ def _write(folder: str, limit: int) -> Callable:
                 if chunk == 0:
                     fields = {
                         "WARC-Type": kind,
-                        "WARC-Record-ID": _name(page, record),
+                        "WARC-Record-ID": _name(page, None if kind == "response" and page is not None else record),
                         "WARC-Date": DATE,
                         "WARC-Target-URI": " ".join((url or "").split()),
                         "WARC-Payload-Digest": f"sha256:{expected}",
@@ -125,7 +125,7 @@ def _write(folder: str, limit: int) -> Callable:
                         "Content-Length": str(size if kind == "response" else 0),
                     }
                     if kind == "revisit":
-                        fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": _name(refers, 0), "X-Payload-Length": str(size)}
+                        fields |= {"WARC-Profile": PROFILE, "WARC-Refers-To": _name(refers), "X-Payload-Length": str(size)}
                     writer.begin(fields)
                     digest, seen = hashlib.sha256(), 0
                 digest.update(data)
@@ -189,13 +189,14 @@ def unzipped(file: object, size: int) -> Iterator[bytes]:
     """Bytes of a file of gzip members, in pieces of at most ``size``."""
     machine = zlib.decompressobj(31)
     while data := file.read(size):
-        while data:
+        full = False  # more may come out without more going in
+        while data or full:
             out = machine.decompress(data, size)
             if out:
                 yield out
-            data = machine.unconsumed_tail
+            data, full = machine.unconsumed_tail, len(out) == size
             if machine.eof:
-                data, machine = machine.unused_data, zlib.decompressobj(31)
+                data, machine, full = machine.unused_data, zlib.decompressobj(31), False
 
 
 RECORDS = "archive string, at long, page long, kind string, url string, size long, digest string, refers long"
