@@ -11,6 +11,7 @@ from .bpe import token_digests
 from .common import fold, table
 from .decontaminate import contaminated
 from .exact_dedup import duplicate_groups
+from .pii import pseudonymised
 from .quality import assess, train
 from .repeats import repeated_spans
 from .simhash import near_duplicates
@@ -18,6 +19,8 @@ from .warc import archived
 
 #: Vocabulary file of the token queries.
 VOCABULARY = "word_bpe_49k.json"
+#: Key of the registered query only; a real one comes from a secret store.
+KEY = "registered query"
 
 
 def op1_suffix_arrays(spark: SparkSession, folder: str) -> DataFrame:
@@ -52,6 +55,10 @@ def op7_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op8_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pseudonymised(table(spark, folder, "documents"), KEY).select("doc_id", "text", "n_private")
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = language.train(docs.filter(fold("doc_id", 4) != 2))
@@ -72,6 +79,7 @@ QUERIES = {
     "op5_bpe": op5_bpe,
     "op6_warc": op6_warc,
     "op7_decontamination": op7_decontamination,
+    "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
 }
