@@ -31,7 +31,8 @@ PATTERNS = {
     "ip": rf"{EDGE}(?<![0-9]\.)[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{END}(?!\.[0-9])",
     "date": rf"{EDGE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}){END}(?![-/][0-9])",
     "ssn": rf"{EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{END}(?!-[0-9])",
-    "phone": rf"(?<![\p{{L}}\p{{N}}+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?[0-9]{{2,4}}){{1,4}}{END}",
+    "phone": rf"(?<![\p{{L}}\p{{N}}+])\+(?:1[ .-]?(?:\([0-9]{{3}}\)|[0-9]{{3}})[ .-]?[0-9]{{3}}[ .-]?[0-9]{{4}}"
+    rf"|[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?[0-9]{{2,4}}){{1,4}}){END}(?!\.[0-9])",
     "card": rf"{EDGE}(?:[0-9]{{4}}([ -])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{1,7}}|[0-9]{{13,19}}){END}(?![ -][0-9]{{4}}{END})",
     "secret": rf"{EDGE}(?=[a-f]*[0-9])(?=[0-9]*[a-f])[0-9a-f]{{32,128}}{END}",
 }
