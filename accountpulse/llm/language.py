@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..sources.staging import stage
 from .common import column_lists, map_batches, map_groups
 
 #: Places that trigrams are hashed to.
@@ -27,6 +28,8 @@ PLACES = 4096
 CLUSTERS = 3
 #: Training texts of each language that are clustered, about at most.
 SAMPLE = 1_000
+#: Languages at most: their centroids go to every task.
+LANGUAGES = 1_000
 #: Share of a centroid's training texts that rejection lets go.
 REJECTED = 0.005
 #: Characters that are counted at once.
@@ -165,9 +168,11 @@ def train(
     seen = _document_frequencies(known.select("text"), places)
     idf = np.log((1 + seen[0]) / (1 + seen[1:])) + 1
     cut = F.least(F.lit(1.0), F.lit(float(sample)) / F.count(F.lit(1)))
-    shares = known.groupBy("lang").agg(cut.alias("share"))
+    shares = stage(known.groupBy("lang").agg(cut.alias("share")), "shares")
+    if shares.count() > LANGUAGES:
+        raise ValueError(f"More than {LANGUAGES} languages.")
     place = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0
-    chosen = known.join(shares, "lang").filter(place < F.col("share")).select("lang", "text")
+    chosen = known.join(F.broadcast(shares), "lang").filter(place < F.col("share")).select("lang", "text")
 
     def cluster(group: pa.Table) -> pa.Table:
         texts = sorted(t for t in group.column("text").to_pylist() if t)
