@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .text import PLAIN_NUMBER, SCIENTIFIC_NUMBER
+from .text import PLAIN_NUMBER, SCIENTIFIC_NUMBER, stripped
 
 
 def parsed_number(df: DataFrame, column: str) -> Column:
@@ -23,7 +23,7 @@ def parsed_number(df: DataFrame, column: str) -> Column:
         return c
     if isinstance(dtype, T.BooleanType):
         return c.cast("int")
-    text = F.trim(c.cast("string"))
+    text = stripped(c)
     return F.when(text.rlike(PLAIN_NUMBER) | text.rlike(SCIENTIFIC_NUMBER), text.try_cast("double"))
 
 

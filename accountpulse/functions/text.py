@@ -20,14 +20,19 @@ PLAIN_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
 SCIENTIFIC_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]+$"
 
 
+def stripped(col: Column) -> Column:
+    """Text without white space at its ends; tabs, line ends and no-break spaces count as such."""
+    return F.regexp_replace(col.cast("string"), r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
+
+
 def has_company_id(col: Column) -> Column:
     """False for NULL and for the texts that stand for a missing id."""
-    return col.isNotNull() & ~F.trim(col.cast("string")).isin(*NULL_IDS)
+    return col.isNotNull() & ~stripped(col).isin(*NULL_IDS)
 
 
 def normalize_company_id(col: Column) -> Column:
     """One text form per company: trimmed, missing markers NULL, numbers as integer text."""
-    text = F.trim(col.cast("string"))
+    text = stripped(col)
     whole = F.regexp_extract(text, "^[+-]?[0-9]+", 0).try_cast("decimal(38,0)").cast("string")
     scientific = text.try_cast("double").try_cast("bigint").cast("string")
     return (
@@ -40,13 +45,13 @@ def normalize_company_id(col: Column) -> Column:
 
 def clean_token(col: Column, case: str = "lower") -> Column:
     """Trim and fold case; blanks and missing markers become NULL."""
-    folded = {"lower": F.lower, "upper": F.upper}[case](F.trim(col.cast("string")))
+    folded = {"lower": F.lower, "upper": F.upper}[case](stripped(col))
     return F.when(~F.lower(folded).isin(*NULL_TOKENS), folded)
 
 
 def fold_conversation_type(col: Column) -> Column:
     """Reported conversation type; NULL for the types outside the report."""
-    folded = F.upper(F.trim(col.cast("string")))
+    folded = F.upper(stripped(col))
     folded = F.when(folded == "MARKETING_LITE", "MARKETING").otherwise(folded)
     return F.when(folded.isin(*REPORTED_TYPES), folded)
 
@@ -58,7 +63,7 @@ def slug(col: Column, default: str) -> Column:
 
 
 def blank_to_null(col: Column) -> Column:
-    return F.nullif(F.trim(col.cast("string")), F.lit(""))
+    return F.nullif(stripped(col), F.lit(""))
 
 
 def contains_any(col: Column, patterns: Sequence[str]) -> Column:

@@ -46,7 +46,7 @@ def company_metrics(columns: Iterable[str]) -> list[str]:
 def merge_company_week(frames: Iterable[DataFrame]) -> DataFrame:
     """Full outer merge of prepared frames on company and week.
 
-    Each frame has one row per key, so stacking them and taking the single value of each
+    Each frame must have one row per key; a second one fails when the result is computed. So stacking them and taking the single value of each
     column per key gives the rows of a chain of full outer joins. A chain would shuffle
     and sort the growing result once per join, because a full outer join loses the
     partitioning of its inputs. Here every frame is hashed on the key by its own
@@ -59,9 +59,17 @@ def merge_company_week(frames: Iterable[DataFrame]) -> DataFrame:
         if shared:
             raise ValidationError(f"[merge] Columns in more than one frame: {', '.join(shared)}")
         seen |= set(frame.columns) - set(KEYS)
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.where(_has_key()) for f in frames])
-    values = [c for c in stacked.columns if c not in KEYS]
-    return stacked.groupBy(*KEYS).agg(*[F.max(c).alias(c) for c in values])
+    marked = [f.where(_has_key()).withColumn(f"__rows_{i}", F.lit(1)) for i, f in enumerate(frames)]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    marks = [f"__rows_{i}" for i in range(len(frames))]
+    values = [c for c in stacked.columns if c not in (*KEYS, *marks)]
+    merged = stacked.groupBy(*KEYS).agg(
+        *[F.max(c).alias(c) for c in values], F.greatest(*[F.sum(m) for m in (*marks, marks[0])]).alias("__rows")
+    )
+    # A second row of a frame for one key would be lost in the maximum, so it ends the job.
+    repeated = F.concat(F.lit("merge: a frame has several rows for company "), "companyId", F.lit(", week "), WEEK)
+    week = F.when(F.col("__rows") > 1, F.raise_error(repeated).cast("date")).otherwise(F.col(WEEK))
+    return merged.withColumn(WEEK, week).drop("__rows")
 
 
 def _has_key():

@@ -13,6 +13,7 @@ from ..errors import ValidationError
 from ..functions.numbers import pct_change
 from ..functions.weeks import MONTH, WEEK, month_start
 from ..sources.contracts import SIGNUP_METRICS
+from ..sources.readers import fractional_columns, typed_column
 from .clean import to_numeric_fill0
 from .merge import company_metrics
 
@@ -42,12 +43,18 @@ def metric_columns(columns: Sequence[str], family: str) -> list[str]:
 
 
 def load_merged(df: DataFrame) -> DataFrame:
-    """A merged table as read from a file: week as a date, metrics as numbers, names filled."""
+    """A merged table as read from a file: week as a date, metrics as numbers, names filled.
+
+    Metrics written as text are whole numbers again, unless some value of theirs has a fraction.
+    """
     week = F.col(WEEK)
     if isinstance(df.schema[WEEK].dataType, T.StringType):
         week = F.try_to_timestamp(F.trim(WEEK)).cast("date")
     metrics = [*company_metrics(df.columns), *[m for m in SIGNUP_METRICS if m in df.columns]]
-    loaded = to_numeric_fill0(df, metrics).withColumn(WEEK, week.cast("date"))
+    text = {m: T.LongType() for m in metrics if isinstance(df.schema[m].dataType, T.StringType)}
+    whole = text.keys() - set(fractional_columns(df, text))
+    typed = df.withColumns({m: typed_column(df, m, T.LongType()) for m in metrics if m in whole})
+    loaded = to_numeric_fill0(typed, metrics).withColumn(WEEK, week.cast("date"))
     if "companyName" in loaded.columns:
         loaded = loaded.withColumn("companyName", F.coalesce("companyName", F.lit("Unknown")))
     return loaded

@@ -1,40 +1,54 @@
 """Exports to one row per company and week (or per week, for sign-ups).
 
-Long form stays long until the last step: a pivot is a set of conditional sums in the same
-aggregation that groups the rows, so it adds no shuffle of its own.
+Plan, status and app labels stay long (``connect_long``, ``kyc_long``, ``marketplace_long``). A wide
+frame collects the labels of a company and week into one map, in the aggregation that groups the
+rows anyway, and takes its columns from the map. So their number costs no aggregation buffer,
+and there is no limit to it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
-from itertools import chain
-from operator import add
+from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..errors import ValidationError
 from ..functions.text import REPORTED_TYPES, clean_token, fold_conversation_type, slug
 from ..functions.weeks import WEEK
 from ..sources.contracts import HIL_GOV_METRICS, KYC_STAGES, SIGNUP_METRICS, with_contract
 from .clean import attach_company, connect_plan_label, drop_invalid_installs, to_numeric_fill0, typed_export
 from .clean import with_company_key
+from .weekly import UNKNOWN_PLAN
 
 KEYS = ["companyId", WEEK]
-MAX_PIVOT_COLUMNS = 2000
 
 
-def named_labels(df: DataFrame, labels: Sequence[str], names: Sequence[Column]) -> list[Row]:
-    """Distinct labels with the column names derived from them, in name order.
+def column_names(df: DataFrame, *names: Column) -> list[str]:
+    """Distinct column names that the labels give, in order.
 
-    They are bounded by the catalogue behind them (plans, apps, statuses), not by rows.
-    More than ``MAX_PIVOT_COLUMNS`` fails; the long form has no such limit.
+    They are the columns of the wide frame, so the driver has to know all of them.
     """
-    found = df.select(*labels).distinct().limit(MAX_PIVOT_COLUMNS + 1).select(*names, *labels).collect()
-    if len(found) > MAX_PIVOT_COLUMNS:
-        raise ValidationError(f"More than {MAX_PIVOT_COLUMNS} labels in {', '.join(labels)}; use the long form.")
-    return sorted(found)
+    return sorted(r[0] for r in df.select(F.explode(F.array(*names)).alias("name")).distinct().collect())
+
+
+def cell(name: Column, value: Column) -> Column:
+    return F.struct(name.alias("name"), value.alias("value"))
+
+
+def sums_by_name(cells: Column) -> Column:
+    """Map of the summed values of collected cells by name, in name order."""
+    names = F.array_sort(F.array_distinct(F.transform(cells, lambda c: c["name"])))
+
+    def total(name: Column) -> Column:
+        same = F.transform(F.filter(cells, lambda c: c["name"] == name), lambda c: c["value"])
+        return F.aggregate(F.slice(same, 2, F.size(same)), F.element_at(same, 1), lambda a, v: a + v)
+
+    return F.map_from_arrays(names, F.transform(names, total))
+
+
+def spread(sums: str, names: Iterable[str]) -> list[Column]:
+    """One 0-filled column per name, from a map column."""
+    return [F.coalesce(F.try_element_at(sums, F.lit(name)), F.lit(0)).alias(name) for name in names]
 
 
 def conditional_sums(value: str, conditions: Mapping[str, Column]) -> list[Column]:
@@ -42,14 +56,6 @@ def conditional_sums(value: str, conditions: Mapping[str, Column]) -> list[Colum
     return [F.coalesce(F.sum(F.when(c, F.col(value))), F.lit(0)).alias(name) for name, c in conditions.items()]
 
 
-def _grouped(pairs: Iterable[tuple[str, str]]) -> dict[str, list[str]]:
-    """Labels per column name, in name order; labels with the same name share a column."""
-    columns: dict[str, list[str]] = {}
-    for name, label in sorted(pairs):
-        columns.setdefault(name, []).append(label)
-    return columns
-
-
 def prepare_workflow(df: DataFrame) -> DataFrame:
     """Executions per company and week, with the first name in name order (missing first)."""
     named = df if "companyName" in df.columns else df.withColumn("companyName", F.lit(None).cast("string"))
@@ -79,58 +85,83 @@ def prepare_billing(df: DataFrame) -> DataFrame:
     )
 
 
+def _labelled_licences(df: DataFrame) -> tuple[DataFrame, Column | None]:
+    rows = with_company_key(typed_export(df, ["connect_licenses"], "connect"))
+    return rows, connect_plan_label(rows)
+
+
+def _plan_column(plan: Column) -> Column:
+    return F.concat(F.lit("connect_plan_"), slug(plan, "unknown_plan"))
+
+
+def connect_long(df: DataFrame) -> DataFrame:
+    """Licences per company, week and plan label, with the plan's column name."""
+    rows, label = _labelled_licences(df)
+    named = rows.withColumn("plan", F.lit(UNKNOWN_PLAN) if label is None else label)
+    sums = named.groupBy(*KEYS, "plan").agg(F.sum("connect_licenses").alias("connect_licenses"))
+    return sums.withColumn("connect_col", _plan_column(F.col("plan")))
+
+
 def prepare_connect(df: DataFrame) -> DataFrame:
     """Licences in one column per plan, their total, and the list of plans in use.
 
     Labels that fall on the same column name are summed. Without any label column there
-    is only the total. Names are derived from the distinct labels, never row by row, and
-    the list is spelled out from the label sums, so one hash aggregation does it all.
+    is only the total.
     """
-    rows = with_company_key(typed_export(df, ["connect_licenses"], "connect"))
-    label = connect_plan_label(rows)
+    rows, label = _labelled_licences(df)
     if label is None:
         return rows.groupBy(*KEYS).agg(F.sum("connect_licenses").alias("connect_licenses"))
 
-    labelled = rows.withColumn("label", label)
-    column = F.concat(F.lit("connect_plan_"), slug(F.col("label"), "unknown_plan"))
-    columns = _grouped(map(tuple, named_labels(labelled, ["label"], [column])))
-    labels = sorted(chain.from_iterable(columns.values()))
-    held = {label: F.col(f"__{i}") for i, label in enumerate(labels)}
-    sums = labelled.groupBy(*KEYS).agg(
-        *conditional_sums("connect_licenses", {f"__{i}": F.col("label") == x for i, x in enumerate(labels)}),
-        F.sum("connect_licenses").alias("connect_licenses"),
+    value = F.col("connect_licenses")
+    named = rows.withColumn("plan", label)
+    names = column_names(named.select("plan").distinct(), _plan_column(F.col("plan")))
+    grouped = named.groupBy(*KEYS).agg(
+        sums_by_name(F.collect_list(cell(F.col("plan"), value))).alias("plans"),
+        sums_by_name(F.collect_list(cell(_plan_column(F.col("plan")), value))).alias("columns"),
+        F.sum(value).alias("connect_licenses"),
     )
-    return sums.select(
-        *KEYS,
-        *[reduce(add, (held[x] for x in same)).alias(name) for name, same in columns.items()],
-        "connect_licenses",
-        F.concat_ws(", ", *[F.when(held[x] > 0, x) for x in labels]).alias("connect_plan_list"),
+    used = F.map_keys(F.map_filter("plans", lambda plan, licences: licences > 0))
+    return grouped.select(
+        *KEYS, *spread("columns", names), "connect_licenses", F.array_join(used, ", ").alias("connect_plan_list")
     )
 
 
+def _kyc_rows(df: DataFrame) -> DataFrame:
+    """Rows with a clean stage and status and the names of their two columns."""
+    rows = with_company_key(typed_export(df, ["kyc_steps_count"], "kyc", ["stepName", "status"]))
+    tokens = rows.withColumns({c: clean_token(F.col(c)) for c in ("stepName", "status")})
+    stage = F.concat(F.lit("kyc_"), slug(F.col("stepName"), "unknown"))
+    return tokens.where(F.col("stepName").isNotNull() & F.col("status").isNotNull()).withColumns(
+        {
+            "status_column": F.concat(stage, F.lit("_"), slug(F.col("status"), "unknown")),
+            "stage_column": F.concat(stage, F.lit("_total")),
+        }
+    )
+
+
+def kyc_long(df: DataFrame) -> DataFrame:
+    """Steps per company, week, stage and status, with the column name of the two."""
+    sums = _kyc_rows(df).groupBy(*KEYS, "stepName", "status", F.col("status_column").alias("kyc_col"))
+    return sums.agg(F.sum("kyc_steps_count").alias("kyc_steps_count"))
+
+
 def prepare_kyc(df: DataFrame) -> DataFrame:
     """Steps by stage and status, by stage, and in total, from one grouped pass.
 
-    The three totals per stage and the grand total exist even when the data has none.
+    The three totals per stage and the grand total exist even when the data has none. A status
+    called "total" has no column beside its stage's total.
     """
-    rows = with_company_key(typed_export(df, ["kyc_steps_count"], "kyc", ["stepName", "status"]))
-    tokens = rows.withColumns({c: clean_token(F.col(c)) for c in ("stepName", "status")})
-    tokens = tokens.where(F.col("stepName").isNotNull() & F.col("status").isNotNull())
-    stage = F.concat(F.lit("kyc_"), slug(F.col("stepName"), "unknown"))
-    names = [
-        F.concat(stage, F.lit("_"), slug(F.col("status"), "unknown")).alias("status_column"),
-        F.concat(stage, F.lit("_total")).alias("stage_column"),
-    ]
-    named = named_labels(tokens, ["stepName", "status"], names)
-    conditions: dict[str, Column] = {}
-    for row in named:
-        pair = (F.col("stepName") == row["stepName"]) & (F.col("status") == row["status"])
-        conditions[row["status_column"]] = conditions.get(row["status_column"], F.lit(False)) | pair
-    stages = _grouped({(r["stage_column"], r["stepName"]) for r in named} | {(f"kyc_{s}_total", s) for s in KYC_STAGES})
-    conditions |= {name: F.col("stepName").isin(steps) for name, steps in stages.items()}
-    return tokens.groupBy(*KEYS).agg(
-        *conditional_sums("kyc_steps_count", conditions), F.sum("kyc_steps_count").alias("kyc_total")
+    rows = _kyc_rows(df)
+    value = F.col("kyc_steps_count")
+    names = column_names(
+        rows.select("status_column", "stage_column").distinct(), F.col("status_column"), F.col("stage_column")
     )
+    # One of the two cells stays where both names are the same.
+    status = F.when(F.col("status_column") != F.col("stage_column"), cell(F.col("status_column"), value))
+    cells = F.concat(F.collect_list(status), F.collect_list(cell(F.col("stage_column"), value)))
+    grouped = rows.groupBy(*KEYS).agg(sums_by_name(cells).alias("columns"), F.sum(value).alias("kyc_total"))
+    fixed = {f"kyc_{s}_total" for s in KYC_STAGES}
+    return grouped.select(*KEYS, *spread("columns", sorted({*names, *fixed})), "kyc_total")
 
 
 def prepare_hil_gov(df: DataFrame) -> DataFrame:
@@ -163,12 +194,13 @@ def marketplace_wide(long: DataFrame) -> DataFrame:
     """One column per app and their total. Apps with the same column name are summed."""
     rows = with_company_key(typed_export(long, ["marketplace_install_count"], "marketplace", ["app_name"]))
     column = F.concat(F.lit("marketplace_app_"), slug(F.col("app_name"), "unknown_app"))
-    named = named_labels(rows, ["app_name"], [column])
-    conditions = {name: F.col("app_name").isin(apps) for name, apps in _grouped(map(tuple, named)).items()}
-    return rows.groupBy(*KEYS).agg(
-        *conditional_sums("marketplace_install_count", conditions),
-        F.sum("marketplace_install_count").alias("marketplace_install_total"),
+    names = column_names(rows.select("app_name").distinct(), column)
+    value = F.col("marketplace_install_count")
+    grouped = rows.groupBy(*KEYS).agg(
+        sums_by_name(F.collect_list(cell(column, value))).alias("columns"),
+        F.sum(value).alias("marketplace_install_total"),
     )
+    return grouped.select(*KEYS, *spread("columns", names), "marketplace_install_total")
 
 
 def prepare_signups(df: DataFrame) -> DataFrame:

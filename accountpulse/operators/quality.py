@@ -23,7 +23,7 @@ def check_grain(df: DataFrame, keys: Sequence[str], source: str) -> DataFrame:
     """Return ``df`` unchanged, or fail with the number of duplicate rows."""
     duplicates = grain_duplicates(df, keys).first()["duplicate_rows"]
     if duplicates:
-        raise ValidationError(f"[{source}] Found {duplicates} duplicate rows for grain {' + '.join(keys)}.")
+        raise ValidationError(f"{source}: {duplicates} rows repeat the key ({', '.join(keys)}) of another")
     return df
 
 

@@ -11,9 +11,10 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.labels import series_label
-from ..functions.numbers import parsed_or_zero, rate_pct
+from ..functions.numbers import parsed_or_zero, pct_change, rate_pct
 from ..functions.text import company_order
 from ..sources.contracts import HIL_GOV_METRICS, HIL_STEPS, SIGNUP_METRICS, require_columns
 from .period import at_period, metric_columns
@@ -75,6 +76,12 @@ HIL_LABELS = {"doccheck": "Document Check", "liveness": "Liveness", "facematch":
 # ----------------------------------------------------------------------------
 
 
+def _one_type(df: DataFrame, columns: Sequence[str]) -> list[Column]:
+    """The columns as whole numbers, or with fractions where one of them may have some."""
+    whole = all(isinstance(df.schema[c].dataType, T.IntegralType) for c in columns)
+    return [F.col(c).cast("bigint" if whole else "double").alias(c) for c in columns]
+
+
 def threshold_of(metric: str) -> int:
     return HISTOGRAM_THRESHOLDS.get(metric, DEFAULT_THRESHOLD)
 
@@ -100,11 +107,16 @@ def metric_series(
     installation in the whole series are left out.
     """
     columns = list(metrics) if metrics is not None else metric_columns(df.columns, family)
-    long = df.select(*keys, period, *[F.col(c).cast("bigint").alias(c) for c in columns]).unpivot(
-        [*keys, period], columns, "series", "value"
-    )
-    if family == "app":
-        whole = Window.partitionBy(*keys, "series")
+    rows = df.select(*keys, period, *_one_type(df, columns))
+    long = rows.unpivot([*keys, period], columns, "series", "value")
+    if family == "app" and keys:
+        # One row of sums per key finds the apps in use before anything is spread to long form.
+        used = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+        used = used.unpivot([*keys], columns, "series", "__total").where("__total > 0").drop("__total")
+        long = long.join(used, [*keys, "series"], "left_semi")
+    elif family == "app":
+        # Without a key there is one row per calendar period, so the series are few and short.
+        whole = Window.partitionBy("series")
         long = long.withColumn("__total", F.sum("value").over(whole)).where("__total > 0").drop("__total")
     kind = "plain" if family in ("message", "metric") else family
     return long.withColumn("label", series_label(F.col("series"), kind))
@@ -153,8 +165,9 @@ def company_snapshot(
 ) -> DataFrame:
     """Newest row of a company beside its row of a chosen period, or the newest again.
 
-    Works for one company or for all of them in one pass: both rows are picked by
-    pre-aggregated maxima, never by sorting a company's history.
+    Works for one company or for all of them in one pass. The rows are compared as a whole, so
+    Spark aggregates them by sorting; ``changed`` is sorted by company already where it comes from
+    ``period_change``.
     """
     rows = changed if company_id is None else changed.where(F.col("companyId") == company_id)
     values = [c for m in metrics for c in (m, f"{m}_wow") if c in changed.columns]
@@ -171,10 +184,14 @@ def company_snapshot(
 
 
 def _selected_rows(df: DataFrame, period: str, value: date | None) -> DataFrame:
-    """Per company its row of the period, else its newest row."""
-    row = F.struct(*[F.col(c) for c in df.columns])
-    rank = F.struct((F.col(period) == F.lit(value) if value is not None else F.lit(False)).alias("hit"), F.col(period))
-    return df.groupBy("companyId").agg(F.max_by(row, rank).alias("row")).select("row.*")
+    """Per company its row of the period, else its newest row.
+
+    The period is found by an aggregate of dates alone; the row then comes by an equality join.
+    """
+    newest = F.max(period)
+    chosen = newest if value is None else F.coalesce(F.max(F.when(F.col(period) == F.lit(value), F.col(period))), newest)
+    picked = df.groupBy("companyId").agg(chosen.alias(period))
+    return df.join(picked, ["companyId", period]).select(df.columns)
 
 
 def active_items(
@@ -186,7 +203,7 @@ def active_items(
     slim = rows.select("companyId", period, *columns)
     items = (
         _selected_rows(slim, period, value)
-        .select("companyId", period, *[F.col(c).cast("bigint").alias(c) for c in columns])
+        .select("companyId", period, *_one_type(slim, columns))
         .unpivot(["companyId", period], columns, "item", "value")
         .where("value > 0")
     )
@@ -305,27 +322,22 @@ def _quantile(p: float) -> Column:
 
 
 def distribution_stats(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
-    """Companies, mean, median, sample deviation, minimum and maximum of a metric."""
-    counts = value_counts(df, period, metric, value)
-    v, n = F.col("v").cast("decimal(38,0)"), F.col("n")
-    sums = counts.agg(
-        F.sum("n").alias("companies"),
-        F.sum(v * n).alias("s1"),
-        F.sum(v * v * n).alias("s2"),
-        _quantile(0.5).alias("median"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
-    )
-    n, s1, s2 = F.col("companies"), F.col("s1"), F.col("s2")
-    variance = F.try_divide((s2 - s1 * s1 / n).cast("double"), (n - 1).cast("double"))
-    return sums.select(
-        "companies",
-        F.try_divide(s1.cast("double"), n.cast("double")).alias("mean"),
-        "median",
-        F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)).alias("std"),
-        "min",
-        "max",
+    """Companies, mean, median, sample deviation, minimum and maximum of a metric.
+
+    Mean and deviation are plain aggregates of the rows, fractions included; only the median
+    goes through the counted values.
+    """
+    rows = at_period(df, period, value).where(F.col(metric).isNotNull())
+    v = F.col(metric)
+    sums = rows.agg(
+        F.count(F.lit(1)).alias("companies"),
+        F.avg(v.cast("double")).alias("mean"),
+        F.stddev_samp(v.cast("double")).alias("std"),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
     )
+    median = value_counts(df, period, metric, value).agg(_quantile(0.5).alias("median"))
+    return sums.withColumn("median", median.scalar()).select("companies", "mean", "median", "std", "min", "max")
 
 
 def distribution_box(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
@@ -370,23 +382,35 @@ def _reject_signups(metric: str) -> None:
         raise ValueError(f"{metric} is a portfolio metric; it has no change per company.")
 
 
-def _changes_at(changed: DataFrame, period: str, metric: str, value: date | None) -> DataFrame:
+def changes_at(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
+    """Company rows of one period with the change of a metric against the company's row before.
+
+    The newest earlier value is a hash aggregate of two numbers, and rows after the period are never
+    read. A table that has its changes already gives those.
+    """
     _reject_signups(metric)
-    return at_period(changed, period, value).select("companyId", "companyName", metric, f"{metric}_wow")
+    change = f"{metric}_wow"
+    now = at_period(df, period, value)
+    if change in df.columns:
+        return now.select("companyId", "companyName", metric, change)
+    limit = F.lit(value) if value is not None else df.select(F.max(period)).scalar()
+    before = df.where(F.col(period) < limit).groupBy("companyId").agg(F.max_by(metric, period).alias("__before"))
+    rows = now.select("companyId", "companyName", metric).join(before, "companyId", "left")
+    return rows.withColumn(change, pct_change(F.col(metric), F.col("__before"))).drop("__before")
 
 
-def change_scatter(changed: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
+def change_scatter(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
     """Companies with a value and a change in the period, marked as declining or growing."""
     change = F.col(f"{metric}_wow")
-    rows = _changes_at(changed, period, metric, value).where(F.col(metric).isNotNull() & change.isNotNull())
+    rows = changes_at(df, period, metric, value).where(F.col(metric).isNotNull() & change.isNotNull())
     return rows.withColumn("status", F.when(change < 0, "Declining").otherwise("Growing"))
 
 
 def big_decliners(
-    changed: DataFrame, period: str, metric: str, value: date | None = None, n: int = 15
+    df: DataFrame, period: str, metric: str, value: date | None = None, n: int = 15
 ) -> DataFrame:
     """Companies above the median of the scatter that lost most, rounded to two digits."""
-    scatter = change_scatter(changed, period, metric, value)
+    scatter = change_scatter(df, period, metric, value)
     counts = scatter.groupBy(F.col(metric).alias("v")).agg(F.count("*").alias("n"))
     median = counts.agg(_quantile(0.5)).scalar()
     change = f"{metric}_wow"
@@ -394,15 +418,15 @@ def big_decliners(
     return _rounded(_top(losing, F.asc(change), n), metric)
 
 
-def top_gainers(changed: DataFrame, period: str, metric: str, value: date | None = None, n: int = 10) -> DataFrame:
+def top_gainers(df: DataFrame, period: str, metric: str, value: date | None = None, n: int = 10) -> DataFrame:
     """Largest changes; infinite ones first, companies without a change only fill up."""
-    rows = _changes_at(changed, period, metric, value)
+    rows = changes_at(df, period, metric, value)
     return _rounded(_top(rows, F.desc_nulls_last(f"{metric}_wow"), n), metric)
 
 
-def top_decliners(changed: DataFrame, period: str, metric: str, value: date | None = None, n: int = 10) -> DataFrame:
+def top_decliners(df: DataFrame, period: str, metric: str, value: date | None = None, n: int = 10) -> DataFrame:
     """Smallest changes; companies without a change only fill up."""
-    rows = _changes_at(changed, period, metric, value)
+    rows = changes_at(df, period, metric, value)
     return _rounded(_top(rows, F.asc_nulls_last(f"{metric}_wow"), n), metric)
 
 

@@ -11,7 +11,9 @@ from datetime import date
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from ..functions.numbers import parsed_or_zero
 from ..functions.text import BILLED_TYPES, contains_any, is_external
 from ..functions.weeks import WEEK, calendar_bounds, since, week_end_sunday
 from ..sources.contracts import HIL_STEPS, KYC_STAGES
@@ -301,7 +303,13 @@ def marketplace_installations(installs: DataFrame, apps: DataFrame, start: date
 
 
 def workflow_executions_weekly(logs: DataFrame, start: date | str) -> DataFrame:
-    """Executions per company id, company name and week; missing totals count as 0."""
+    """Executions per company id, company name and week; totals that are no number count as 0.
+
+    Whole totals stay whole numbers; totals with fractions keep them.
+    """
+    total = parsed_or_zero(logs, "total")
+    if isinstance(logs.schema["total"].dataType, T.IntegralType):
+        total = total.cast("bigint")
     return (
         logs.where(since(logs, "createdAt", start) & F.col("company.id").isNotNull())
         .groupBy(
@@ -309,7 +317,7 @@ def workflow_executions_weekly(logs: DataFrame, start: date | str) -> DataFrame:
             F.col("company.name").alias("companyName"),
             week_end_sunday("createdAt").alias(WEEK),
         )
-        .agg(F.coalesce(F.sum("total"), F.lit(0)).cast("bigint").alias("execution_count"))
+        .agg(F.sum(total).alias("execution_count"))
     )
 
 

@@ -8,7 +8,7 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from ..errors import ValidationError
+from ..errors import MissingSourceError, ValidationError
 from ..operators.prepare import marketplace_long
 from ..operators.weekly import (
     INTERNAL_PATTERNS,
@@ -42,8 +42,10 @@ class Settings:
     strict_windows: bool = False
 
 
-def weekly_jobs(catalog: Mapping[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
-    """Lazy export per job whose raw tables are all in the catalog."""
+def weekly_jobs(
+    catalog: Mapping[str, DataFrame], settings: Settings, without: Iterable[str] = ()
+) -> dict[str, DataFrame]:
+    """Lazy export per job. A raw table that is absent fails, unless its jobs are named in ``without``."""
     start, as_of = settings.start, settings.as_of
 
     def licences(subscriptions: DataFrame, items: DataFrame, tiers: DataFrame) -> DataFrame:
@@ -69,17 +71,18 @@ def weekly_jobs(catalog: Mapping[str, DataFrame], settings: Settings) -> dict[st
             lambda companies, users: signups_weekly(companies, users, start, settings.internal_patterns),
         ),
     }
-    return {
-        name: query(*[catalog[t] for t in tables])
-        for name, (tables, query) in queries.items()
-        if all(t in catalog for t in tables)
-    }
+    wanted = {name: job for name, job in queries.items() if name not in set(without)}
+    absent = {name: [t for t in tables if t not in catalog] for name, (tables, _) in wanted.items()}
+    if any(absent.values()):
+        listed = "; ".join(f"{name} needs {', '.join(tables)}" for name, tables in absent.items() if tables)
+        raise MissingSourceError(f"Raw tables are absent: {listed}")
+    return {name: query(*[catalog[t] for t in tables]) for name, (tables, query) in wanted.items()}
 
 
 def job_group(group: str) -> tuple[str, ...]:
     """Job names of a group."""
     if group not in JOB_GROUPS:
-        raise ValidationError(f"Unknown query group: {group}")
+        raise ValidationError(f"No group is called {group!r}")
     return JOB_GROUPS[group]
 
 
@@ -87,5 +90,5 @@ def select_jobs(jobs: Mapping[str, DataFrame], names: Iterable[str]) -> dict[str
     names = list(names)
     unknown = sorted(set(names) - set(jobs))
     if unknown:
-        raise ValidationError(f"Unknown job: {', '.join(unknown)}")
+        raise ValidationError(f"No query is called {', '.join(unknown)}")
     return {name: jobs[name] for name in names}

@@ -6,11 +6,16 @@ and the merge: small, checked, and safe against lost executors.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ..errors import ValidationError
+from ..operators.clean import drop_invalid_installs, match_counts
 from ..operators.merge import merged_table
 from ..operators.prepare import (
     marketplace_wide,
@@ -22,12 +27,14 @@ from ..operators.prepare import (
     prepare_signups,
     prepare_workflow,
 )
-from ..operators.quality import check_grain, check_windows, date_windows
+from ..operators.quality import check_windows, date_windows, grain_duplicates
 from ..sources.contracts import EXPORTS, require_columns
 from ..sources.readers import read_export, read_optional, read_with_fallback
 from ..sources.staging import stage
 from ..sources.writers import write_long, write_merged
-from .jobs import Settings
+from .jobs import Settings, job_group, select_jobs
+
+log = logging.getLogger(__name__)
 
 PREPARE = {
     "workflow": prepare_workflow,
@@ -73,7 +80,8 @@ def stage_with_fallback(
 def write_exports(exports: Mapping[str, DataFrame], folder: str) -> None:
     """Save exports under their contract names, for a later merge-only run."""
     for name, df in exports.items():
-        df.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}_weekly")
+        keys = [c for c in EXPORTS[name].grain if c in df.columns]
+        df.orderBy(*keys).write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}_weekly")
 
 
 def read_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -109,16 +117,65 @@ def merge_exports(exports: Mapping[str, DataFrame], settings: Settings) -> DataF
     return merge_prepared(prepare_exports(exports), settings)
 
 
-def run_weekly(jobs: Mapping[str, DataFrame], settings: Settings, path: str, fmt: str = "parquet") -> DataFrame:
-    """The whole run: stage exports, compare windows, merge, check the grain, write.
+def export_grain(exports: Mapping[str, DataFrame]) -> DataFrame:
+    """One row per export: its rows that repeat another row's declared key."""
+    counted = [
+        grain_duplicates(df, EXPORTS[name].grain).select(F.lit(name).alias("source"), "duplicate_rows")
+        for name, df in exports.items()
+    ]
+    return reduce(DataFrame.unionByName, counted)
+
+
+def check_exports(exports: Mapping[str, DataFrame]) -> None:
+    """Fail when an export repeats a key of its grain."""
+    repeated = {r["source"]: r["duplicate_rows"] for r in export_grain(exports).collect() if r["duplicate_rows"]}
+    if repeated:
+        listed = ", ".join(f"{name}: {rows} rows repeat the key of another" for name, rows in repeated.items())
+        raise ValidationError(listed)
+
+
+def run_group(
+    jobs: Mapping[str, DataFrame], group: str, folder: str, allow_fallback: bool = False, earlier: str | None = None
+) -> dict[str, DataFrame]:
+    """Run the queries of a group, check them, and save their exports in ``folder``.
+
+    With ``allow_fallback`` a failing licence query takes the export saved in ``earlier``, by default
+    the one in ``folder``.
+    """
+    chosen = select_jobs(jobs, job_group(group))
+    exports = stage_with_fallback(_session(jobs), chosen, earlier or folder, allow_fallback)
+    check_exports(exports)
+    write_exports(exports, folder)
+    return exports
+
+
+def _session(jobs: Mapping[str, DataFrame]) -> SparkSession:
+    return next(iter(jobs.values())).sparkSession
+
+
+def run_weekly(
+    jobs: Mapping[str, DataFrame],
+    settings: Settings,
+    path: str,
+    fmt: str = "parquet",
+    allow_fallback: bool = False,
+    earlier: str | None = None,
+    mapping: DataFrame | None = None,
+    installs: DataFrame | None = None,
+) -> DataFrame:
+    """The whole run: stage exports, check grain and windows, merge, write.
 
-    Returns the written merged table as staged, before formatting for ``path``.
+    ``earlier`` is a folder of saved exports that ``allow_fallback`` may use for the licences. With raw
+    ``installs`` and their ``mapping`` the log tells how many installations have no company. Returns
+    the merged table as staged, before formatting for ``path``.
     """
-    exports = stage_exports(jobs)
-    prepared = prepare_exports(exports)
-    check_windows(date_windows(prepared), settings.strict_windows)
-    merged = stage(merge_prepared(prepared, settings), "merged")
-    check_grain(merged, ["companyId", "week_end_sunday"], "merged_output")
+    exports = stage_with_fallback(_session(jobs), jobs, earlier or path, allow_fallback)
+    check_exports(exports)
+    check_windows(date_windows(exports), settings.strict_windows)
+    if installs is not None and mapping is not None:
+        counts = match_counts(drop_invalid_installs(installs), mapping).first()
+        log.info("installations with a company: %d, without: %d", counts["matched"], counts["unmatched"])
+    merged = stage(merge_exports(exports, settings), "merged")
     write_merged(merged, path, fmt)
     if "marketplace" in exports:
         write_long(exports["marketplace"], f"{path.rstrip('/')}_marketplace_long", fmt)

@@ -15,14 +15,11 @@ from pyspark.sql import functions as F
 from ..session import shared_folder
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared folder and return the written table."""
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/stage/{name}-{uuid.uuid4().hex}"
-    writer = df.write.mode("error")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(path)
+    df.write.mode("error").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -16,7 +16,7 @@ def canonical_order(df: DataFrame) -> DataFrame:
 
 def _write_csv(df: DataFrame, path: str) -> None:
     text_week = df.withColumn(WEEK, F.date_format(WEEK, "yyyy-MM-dd"))
-    text_week.write.mode("overwrite").option("header", True).csv(path)
+    text_week.write.mode("overwrite").options(header=True, quote='"', escape='"').csv(path)
 
 
 def write_merged(df: DataFrame, path: str, fmt: str = "csv") -> None:

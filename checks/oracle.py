@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import re
 
+from accountpulse.sources.contracts import EXPORTS as CONTRACTS
 from accountpulse.sources.standins import STANDINS, standin_sql
 
 START = "1996-01-01"
@@ -17,6 +18,8 @@ LICENCE_AS_OF = "2001-12-16"
 SOME_WEEK = "DATE '1998-06-07'"
 APP_WEEK = "DATE '2024-01-14'"
 
+# The conversation types that are billed.
+BILLED_TYPES = ["MARKETING", "MARKETING_LITE", "UTILITY", "AUTHENTICATION"]
 STAGES = ["document_check", "liveness", "facematch"]
 STATUSES = ["Approved", "Disapproved", "Fraud"]
 PLANS = ["ECONOMY", "LARGE", "MEDIUM", "PROMO", "SMALL", "STANDARD", *[f"Brand#{i}" for i in range(1, 26)]]
@@ -80,13 +83,20 @@ def total(condition: str, value: str = "1") -> str:
 VIEWS = {name: standin_sql(name) for name in STANDINS}
 
 
-INTERNAL = "'impersonate|test|prueba'"
+INTERNAL = ["impersonate", "test", "prueba"]
+
+
+def external(column: str) -> str:
+    """Missing, empty, or free of every internal word."""
+    words = " AND ".join(f"lower({column}) NOT LIKE '%{word}%'" for word in INTERNAL)
+    return f"({column} IS NULL OR {column} = '' OR ({words}))"
+
 
 # Companies without an internal word in any of their texts or in a live root user's mail.
-OUTSIDE = f"""(SELECT * FROM companies
-    ANTI JOIN (SELECT companyId AS id FROM company_users
-               WHERE deletedAt IS NULL AND isRoot = 1 AND regexp_matches(lower(email), {INTERNAL})) f USING (id)
-    WHERE NOT regexp_matches(lower(concat_ws(' ', name, slug, email)), {INTERNAL}))"""
+OUTSIDE = f"""(SELECT * FROM companies c
+    WHERE {external('name')} AND {external('slug')} AND {external('email')}
+      AND NOT EXISTS (SELECT 1 FROM company_users u WHERE u.companyId = c.id AND u.deletedAt IS NULL
+                      AND u.isRoot = 1 AND NOT {external('u.email')}))"""
 
 STAGE_LIST = quoted(STAGES)
 
@@ -99,14 +109,14 @@ def billing_sql(start: str) -> str:
     return f"""SELECT companyId, {week('createdAt')} AS week_end_sunday, conversationType,
         COUNT(*) AS event_count, {big('SUM(isBillable)')} AS billable_count
         FROM billing_events
-        WHERE createdAt >= '{start}' AND companyId >= 0 AND regexp_matches(conversationType, '^(MARK|UTIL|AUTH)')
+        WHERE createdAt >= '{start}' AND companyId IS NOT NULL AND conversationType IN ({quoted(BILLED_TYPES)})
         GROUP BY ALL"""
 
 
 def signups_sql(start: str) -> str:
     return f"""SELECT {week('createdAt')} AS week_end_sunday, COUNT(*) AS signups,
         {count_where("plan = 'SELF_SERVICE'")} AS self_service, {count_where("plan = 'ENTERPRISE'")} AS enterprise,
-        COUNT(plan) - {count_where("plan IN ('SELF_SERVICE', 'ENTERPRISE')")} AS other_plans
+        {count_where("plan NOT IN ('SELF_SERVICE', 'ENTERPRISE')")} AS other_plans
         FROM {OUTSIDE} o WHERE createdAt >= '{start}' GROUP BY ALL"""
 
 
@@ -115,7 +125,7 @@ def owned_steps(start: str) -> str:
     return f"""(SELECT b.companyId, CONCAT('Company ', b.companyId) AS companyName,
         {week('s.createdAt')} AS week_end_sunday, s.biometricId, s.stepName, s.status,
         s.enableHumanInLoop = 1 AS reviewed, d.entityResponse AS answer
-        FROM biometrics b JOIN biometric_steps s ON b.id = s.biometricId AND b.companyId >= 0
+        FROM biometrics b JOIN biometric_steps s ON b.id = s.biometricId AND b.companyId IS NOT NULL
         LEFT JOIN document_check_steps d ON d.id = s.documentCheckId
         WHERE s.createdAt >= '{start}' AND s.stepName IN ({STAGE_LIST})) steps"""
 
@@ -143,14 +153,13 @@ def hil_sql(start: str) -> str:
 
 def items_sql(as_of: str) -> str:
     return f"""SELECT company_id AS companyId, name AS plan_tier_name,
-        CASE WHEN display_name <> '' THEN display_name ELSE ifnull(name, 'Unknown Plan') END AS plan_tier_display_name,
+        COALESCE(NULLIF(display_name, ''), name, 'Unknown Plan') AS plan_tier_display_name,
         CAST(current_period_start AS DATE) AS period_start,
-        CAST(list_filter([canceled_at, cancel_at, current_period_end, DATE '{as_of}'],
-                         lambda d: d IS NOT NULL)[1] AS DATE) AS period_end,
-        CASE WHEN quantity <> 0 THEN quantity ELSE 1 END AS license_qty
+        CAST(COALESCE(canceled_at, cancel_at, current_period_end, DATE '{as_of}') AS DATE) AS period_end,
+        COALESCE(NULLIF(quantity, 0), 1) AS license_qty
         FROM plan_tiers t, subscription_items i, subscriptions s
         WHERE t.id = plan_tier_id AND s.id = subscription_id AND platform_product_id = 'connect'
-          AND s.status ILIKE 'active' AND company_id >= 0"""
+          AND UPPER(s.status) = 'ACTIVE' AND company_id IS NOT NULL"""
 
 
 def licences_sql(start: str, as_of: str) -> str:
@@ -163,7 +172,8 @@ def licences_sql(start: str, as_of: str) -> str:
 
 def installs_sql(start: str) -> str:
     return f"""SELECT i.id AS installation_id, userId, userType, installedByUserId,
-        CAST(if(userType ILIKE 'organization', installedByUserId, userId) AS VARCHAR) AS mapping_user_id,
+        CAST(CASE WHEN UPPER(userType) = 'ORGANIZATION' THEN installedByUserId ELSE userId END AS VARCHAR)
+            AS mapping_user_id,
         appId, name AS app_name, createdAt AS installed_at, CAST(createdAt AS DATE) AS installed_date,
         {week('createdAt')} AS week_end_sunday, updatedAt
         FROM apps a JOIN user_app_installations i ON i.appId = a.id AND i.deletedAt IS NULL
@@ -348,18 +358,19 @@ _KPIS = "execution_count, dau_count, connect_licenses, MARKETING, UTILITY, AUTHE
 _SNAPSHOT = ["execution_count", "execution_count_wow", "connect_licenses", "connect_licenses_wow"]
 _HISTORY = ["execution_count", "MARKETING", "kyc_total", "connect_licenses", "gov_validated"]
 _LABELS = {"doccheck": "Document Check", "liveness": "Liveness", "facematch": "Facematch"}
+_SOURCES = {
+    "workflow": "x_workflow",
+    "billing": "x_billing",
+    "dau": "x_dau",
+    "connect": "x_connect",
+    "kyc": "x_kyc",
+    "hil_gov": "x_hil",
+    "marketplace": "x_marketplace",
+    "signups": "x_signups",
+}
 _WINDOWS = " UNION ALL ".join(
     f"SELECT '{name}' AS source, MIN(week_end_sunday) AS first_week, MAX(week_end_sunday) AS last_week FROM {x}"
-    for name, x in {
-        "workflow": "x_workflow",
-        "billing": "x_billing",
-        "dau": "x_dau",
-        "connect": "x_connect",
-        "kyc": "x_kyc",
-        "hil_gov": "x_hil",
-        "marketplace": "x_marketplace",
-        "signups": "x_signups",
-    }.items()
+    for name, x in _SOURCES.items()
 )
 _TOP = (
     "companyId, companyName, execution_count, MARKETING, UTILITY, AUTHENTICATION, dau_count, connect_licenses, "
@@ -381,12 +392,7 @@ ORACLE = {
             FROM x_connect GROUP BY ALL""",
         EXPORTS,
     ),
-    "merged_csv_roundtrip": on_merged(
-        """SELECT companyId, companyName, week_end_sunday, CAST(execution_count AS DOUBLE) AS execution_count,
-            CAST(MARKETING AS DOUBLE) AS "MARKETING", CAST(connect_licenses AS DOUBLE) AS connect_licenses,
-            CAST(kyc_total AS DOUBLE) AS kyc_total, CAST(gov_validated AS DOUBLE) AS gov_validated,
-            CAST(signups AS DOUBLE) AS signups FROM merged"""
-    ),
+    "merged_csv_roundtrip": on_merged("SELECT * FROM merged"),
     "marketplace_long_roundtrip": sql("SELECT * FROM x_marketplace", EXPORTS),
     "session_billing_weekly": sql(billing_sql(START)),
     "external_companies": sql(f"SELECT id, name, plan FROM {OUTSIDE} o"),
@@ -427,6 +433,16 @@ ORACLE = {
     "dau_prepared": on_merged("SELECT * FROM p_dau"),
     "billing_pivot": on_merged("SELECT * FROM p_billing"),
     "connect_wide": on_merged("SELECT * FROM p_connect"),
+    "connect_long": on_merged(
+        f"""SELECT {KEY}, plan_tier_display_name AS plan, {big('SUM(connect_licenses)')} AS connect_licenses,
+            CONCAT('connect_plan_', replace(lower(plan_tier_display_name), '#', '_')) AS connect_col
+            FROM x_connect GROUP BY ALL"""
+    ),
+    "kyc_long": on_merged(
+        f"""SELECT {KEY}, lower(stepName) AS stepName, lower(status) AS status,
+            CONCAT('kyc_', lower(stepName), '_', lower(status)) AS kyc_col,
+            {big('SUM(kyc_steps_count)')} AS kyc_steps_count FROM x_kyc GROUP BY ALL"""
+    ),
     "connect_total_only": on_merged("SELECT companyId, week_end_sunday, connect_licenses FROM p_connect"),
     "kyc_wide": on_merged("SELECT * FROM p_kyc"),
     "hil_gov_prepared": on_merged("SELECT * FROM p_hil"),
@@ -443,6 +459,14 @@ ORACLE = {
             (SELECT COUNT(*) AS n FROM x_connect GROUP BY companyId, week_end_sunday) g""",
         EXPORTS,
     ),
+    "export_grain": sql(
+        " UNION ALL ".join(
+            f"""SELECT '{name}' AS source, CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS duplicate_rows
+                FROM (SELECT COUNT(*) AS n FROM {x} GROUP BY {', '.join(CONTRACTS[name].grain)}) g"""
+            for name, x in _SOURCES.items()
+        ),
+        EXPORTS,
+    ),
     "date_windows": sql(_WINDOWS, EXPORTS),
     "window_mismatch": sql(
         f"""SELECT COUNT(DISTINCT first_week) AS starts, COUNT(DISTINCT last_week) AS ends,

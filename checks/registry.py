@@ -13,6 +13,7 @@ from accountpulse.functions.labels import series_label
 from accountpulse.functions.text import clean_token, fold_conversation_type, normalize_company_id, slug
 from accountpulse.functions.weeks import MONTH, WEEK, week_end_sunday
 from accountpulse.operators import clean, identity, merge, period, prepare, quality, views, weekly
+from accountpulse.plans import pipeline
 from accountpulse.plans.pipeline import merge_prepared, prepare_exports
 from accountpulse.session import shared_folder
 from accountpulse.sources.contracts import EXPORTS, struct_of
@@ -75,8 +76,7 @@ def merged_csv_roundtrip(spark, folder):
     path = _temporary(spark, "merged") + ".csv"
     write_merged(merged(spark, folder), path)
     loaded = period.load_merged(read_source(spark, "/", ["/absent/merged.csv", path]))
-    kept = ["execution_count", "MARKETING", "connect_licenses", "kyc_total", "gov_validated", "signups"]
-    return loaded.select("companyId", "companyName", WEEK, *kept)
+    return loaded.withColumn("connect_plan_list", F.coalesce("connect_plan_list", F.lit("")))
 
 
 @query
@@ -262,6 +262,16 @@ def connect_wide(spark, folder):
     return prepare.prepare_connect(export(spark, folder, "connect"))
 
 
+@query
+def connect_long(spark, folder):
+    return prepare.connect_long(export(spark, folder, "connect"))
+
+
+@query
+def kyc_long(spark, folder):
+    return prepare.kyc_long(export(spark, folder, "kyc"))
+
+
 @query
 def connect_total_only(spark, folder):
     """Without a label column there is only the total."""
@@ -316,6 +326,11 @@ def grain_duplicates(spark, folder):
     return quality.grain_duplicates(export(spark, folder, "connect"), ["companyId", WEEK])
 
 
+@query
+def export_grain(spark, folder):
+    return pipeline.export_grain(exports(spark, folder))
+
+
 @query
 def date_windows(spark, folder):
     return quality.date_windows(exports(spark, folder))
@@ -511,22 +526,22 @@ METRIC = "execution_count"
 
 @query
 def change_scatter(spark, folder):
-    return views.change_scatter(_changed(spark, folder, [METRIC]), WEEK, METRIC, SOME_WEEK)
+    return views.change_scatter(merged(spark, folder), WEEK, METRIC, SOME_WEEK)
 
 
 @query
 def big_decliners(spark, folder):
-    return views.big_decliners(_changed(spark, folder, [METRIC]), WEEK, METRIC, SOME_WEEK)
+    return views.big_decliners(merged(spark, folder), WEEK, METRIC, SOME_WEEK)
 
 
 @query
 def top_gainers(spark, folder):
-    return views.top_gainers(_changed(spark, folder, ["MARKETING"]), WEEK, "MARKETING", SOME_WEEK)
+    return views.top_gainers(merged(spark, folder), WEEK, "MARKETING", SOME_WEEK)
 
 
 @query
 def top_decliners(spark, folder):
-    return views.top_decliners(_changed(spark, folder, ["MARKETING"]), WEEK, "MARKETING", SOME_WEEK)
+    return views.top_decliners(merged(spark, folder), WEEK, "MARKETING", SOME_WEEK)
 
 
 # --- Identity ---------------------------------------------------------------

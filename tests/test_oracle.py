@@ -1,6 +1,4 @@
-"""Registered queries against their SQL. All of them with ACCOUNTPULSE_ALL=1."""
-
-import os
+"""Every registered query against its SQL."""
 
 import pytest
 
@@ -9,27 +7,6 @@ from checks.oracle import ORACLE
 from checks.registry import QUERIES
 
 FOLDER = "/root/testdata/sf0.01"
-QUICK = (
-    "billing_pivot",
-    "connect_items",
-    "daily_active_users_weekly",
-    "external_companies",
-    "facematch_scores",
-    "hil_gov_prepared",
-    "install_match_counts",
-    "kyc_funnel",
-    "kyc_hil_government_weekly",
-    "kyc_steps_weekly",
-    "marketplace_long",
-    "session_billing_weekly",
-    "signups_weekly",
-    "steps_enriched",
-    "workflow_executions_weekly",
-    "weekly_totals",
-    "period_change",
-    "big_decliners",
-)
-NAMES = sorted(QUERIES) if os.environ.get("ACCOUNTPULSE_ALL") else QUICK
 
 
 @pytest.fixture(scope="module")
@@ -41,6 +18,6 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_same_result(spark, duck, name):
     assert differences(QUERIES[name](spark, FOLDER), duck, ORACLE[name]) is None

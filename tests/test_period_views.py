@@ -279,3 +279,14 @@ def test_invariants_on_rollups(frame):
     monthly = period.monthly_totals(df).agg(F.sum("execution_count")).first()[0]
     companies = period.monthly_companies(df).agg(F.sum("execution_count")).first()[0]
     assert weekly == monthly == companies == sum(r[2] for r in rows)
+
+
+def test_fractions_are_kept(frame):
+    schema = "companyId STRING, companyName STRING, week_end_sunday DATE, execution_count DOUBLE, marketplace_app_a DOUBLE"
+    rows = frame(schema, [("1", "a", date(2025, 1, 5), 0.4, 0.5), ("2", "b", date(2025, 1, 5), 0.4, 0.0), ("3", "c", date(2025, 1, 5), 2.6, 3.9)])
+    stats = views.distribution_stats(rows, "week_end_sunday", "execution_count").first()
+    assert round(stats["mean"], 3) == 1.133 and round(stats["std"], 2) == 1.27 and stats["median"] == 0.4
+    items = {r.companyId: r.value for r in views.active_items(rows, "week_end_sunday", "app").collect()}
+    assert items == {"1": 0.5, "3": 3.9}
+    series = views.metric_series(rows, "app", "week_end_sunday", ["companyId"])
+    assert {r.companyId: r.value for r in series.collect()} == {"1": 0.5, "3": 3.9}

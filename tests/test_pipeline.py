@@ -6,10 +6,10 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from accountpulse.errors import ValidationError
+from accountpulse.errors import MissingSourceError, ValidationError
 from accountpulse.operators.merge import company_metrics
 from accountpulse.plans.jobs import Settings, weekly_jobs
-from accountpulse.plans.pipeline import run_weekly
+from accountpulse.plans.pipeline import run_group, run_weekly
 from checks.workspace import catalog
 
 SMALL = "/root/testdata/sf0.001"
@@ -61,3 +61,30 @@ def test_strict_windows_stop_the_run(spark, tmp_path):
     with pytest.raises(ValidationError, match="same first and last week"):
         run_weekly(weekly_jobs(catalog(spark, SMALL), strict), strict, str(tmp_path / "never"))
     assert not (tmp_path / "never").exists()
+
+
+def test_an_absent_raw_table_fails(spark):
+    tables = catalog(spark, SMALL)
+    tables.pop("ai_users")
+    with pytest.raises(MissingSourceError, match="dau needs ai_users"):
+        weekly_jobs(tables, SETTINGS)
+    assert "dau" not in weekly_jobs(tables, SETTINGS, without=["dau"])
+
+
+def test_group_saves_exports_and_falls_back(spark, tmp_path):
+    jobs = weekly_jobs(catalog(spark, SMALL), SETTINGS)
+    folder = str(tmp_path / "exports")
+    saved = run_group(jobs, "kyc_and_billing", folder)
+    assert set(saved) == {"billing", "connect", "kyc", "hil_gov"}
+    broken = jobs | {"connect": jobs["connect"].withColumn("connect_licenses", F.raise_error(F.lit("gone")).cast("bigint"))}
+    with pytest.raises(Exception, match="gone"):
+        run_group(broken, "kyc_and_billing", str(tmp_path / "other"))
+    again = run_group(broken, "kyc_and_billing", str(tmp_path / "other"), allow_fallback=True, earlier=folder)
+    assert again["connect"].count() == saved["connect"].count()
+
+
+def test_a_repeated_export_key_stops_the_run(spark, tmp_path):
+    jobs = weekly_jobs(catalog(spark, SMALL), SETTINGS)
+    twice = jobs | {"dau": jobs["dau"].union(jobs["dau"])}
+    with pytest.raises(ValidationError, match="dau: "):
+        run_weekly(twice, SETTINGS, str(tmp_path / "never"))
