@@ -27,6 +27,8 @@ from .common import map_batches
 SAMPLE = 20_000
 #: Documents with at least this score are kept.
 THRESHOLD = 0.5
+#: Sites that are broadcast, at most; a site takes about a hundred bytes.
+BROADCAST_SITES = 100_000
 #: Probabilities are kept this far from 0 and 1.
 EDGE = 1e-4
 #: Variance between sites, at least this share of that inside them.
@@ -204,6 +206,9 @@ def assess(
         hosts.select(F.col("__host").alias("__g"), F.col("n").alias("__hn"), F.col("s").alias("__hs")),
         F.col("__h").eqNullSafe(F.col("__g")),
     )
+    # Few enough sites go to every task; more meet their documents in a shuffle.
+    if paths.count() <= BROADCAST_SITES:
+        sites = F.broadcast(sites)
     p = F.col("__p")
     joined = evidence.join(sites, F.col("__host").eqNullSafe(F.col("__h")) & F.col("__path").eqNullSafe(F.col("__r")))
     host_rate = (F.col("__hs") - p + host_strength * rate) / (F.col("__hn") - 1 + host_strength)

@@ -218,7 +218,7 @@ def test_toxic_sentences(spark):
     assert toxicity.scored(awkward.empty(spark), model).count() == 0
 
 
-def test_quality(spark):
+def test_quality(spark, monkeypatch):
     from pyspark.sql import functions as F
 
     pick = random.Random(8)
@@ -233,7 +233,11 @@ def test_quality(spark):
     model = quality.train(docs, labels)
     rated = quality.assess(docs, model, F.col("source"), F.col("lang")).collect()
     assert len(rated) == 300 and all(r["__keep"] == (r["doc_id"] % 3 > 0) for r in rated)
-    # By hand: a site's rates without the row's own part, shrunk to what is above them.
+    # More sites than are broadcast: the same rates by a shuffle.
+    many = {r["doc_id"]: r["__score"] for r in rated}
+    monkeypatch.setattr(quality, "BROADCAST_SITES", 0)
+    again = quality.assess(docs, model, F.col("source"), F.col("lang")).collect()
+    assert {r["doc_id"]: r["__score"] for r in again} == pytest.approx(many)
     odd = awkward.documents()
     frame = awkward.frame(spark, odd)
     rated = quality.assess(frame, model, F.col("source"), F.col("lang"))
