@@ -207,9 +207,12 @@ def steps_enriched(
 
     out = left_lookup(steps, prefixed(sessions, "session"), "biometricId", spread())
     if doc_checks is not None:
-        out = left_lookup(out, prefixed(doc_checks, "document_check"), "documentCheckId", spread())
+        # Identities meet the checks, which are far fewer than the steps.
+        checks = prefixed(doc_checks, "document_check")
         if identities is not None:
-            out = left_lookup(out, prefixed(identities, "identity"), "document_check_documentIdentityId", spread())
+            key = "document_check_documentIdentityId"
+            checks = left_lookup(checks, prefixed(identities, "identity"), key, F.col("id"))
+        out = left_lookup(out, checks, "documentCheckId", spread())
     if liveness is not None:
         out = left_lookup(out, prefixed(liveness, "liveness"), "livenessId", spread())
     if facematch is not None:

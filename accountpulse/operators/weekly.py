@@ -17,6 +17,7 @@ from ..functions.numbers import parsed_or_zero
 from ..functions.text import BILLED_TYPES, contains_any, is_external
 from ..functions.weeks import WEEK, calendar_bounds, since, week_end_sunday
 from ..sources.contracts import HIL_STEPS, KYC_STAGES
+from .joins import left_lookup
 
 # --- Fixed values -----------------------------------------------------------
 # Words that mark internal and test accounts; callers add their own company name.
@@ -125,49 +126,45 @@ def kyc_hil_government_weekly(
 ) -> DataFrame:
     """Sessions, government answers and human-review outcomes per company and week.
 
-    Only document checks with an id can have an answer. They alone are shuffled for that
-    lookup; all other steps, the larger part and all with a NULL key, skip it.
-
-    Steps then shrink to one row per session and week before they meet the sessions. The
-    steps of a session are written close together, so most of that happens on the map
-    side; a session with very many steps is a few rows in the join, and counting distinct
-    sessions is counting rows.
+    The steps are read once and shrink to one row per session, week and document check before
+    anything is joined. The steps of a session are written close together, so most of that happens
+    on the map side, and a check or a session with very many steps is a few rows in the joins. Only
+    document checks with an id can have an answer; the other rows have no key and are spread.
+    Counting distinct sessions is counting rows of the last grouping.
     """
-    wanted = _stage_steps(steps, start).select(
-        "biometricId",
-        "stepName",
-        "status",
-        (F.col("enableHumanInLoop") == 1).alias("reviewed"),
-        "documentCheckId",
-        week_end_sunday("createdAt").alias(WEEK),
-    )
-    answers = doc_checks.select(F.col("id").alias("documentCheckId"), "entityResponse")
-    looked_up = (F.col("stepName") == "document_check") & F.col("documentCheckId").isNotNull()
-    checked = wanted.where(looked_up).join(answers, "documentCheckId", "left")
-    no_answer = F.lit(None).cast(answers.schema["entityResponse"].dataType)
-    others = wanted.where(~looked_up).withColumn("entityResponse", no_answer)
-
-    step, status, reviewed = F.col("stepName"), F.col("status"), F.col("reviewed")
-    conditions = {
-        "gov_validated": (step == "document_check") & (F.col("entityResponse") == 1),
-        "gov_not_validated": (step == "document_check") & (F.col("entityResponse") == 0),
-    }
+    step, status = F.col("stepName"), F.col("status")
+    reviewed = F.col("enableHumanInLoop") == 1
+    conditions = {}
     for short, stage in HIL_STEPS.items():
         conditions[f"hil_{short}_total"] = reviewed & (step == stage)
         conditions[f"hil_{short}_approved"] = reviewed & (step == stage) & (status == "Approved")
         conditions[f"hil_{short}_disapproved"] = reviewed & (step == stage) & (status == "Disapproved")
 
-    per_session = (
-        checked.unionByName(others)
-        .groupBy("biometricId", WEEK)
-        .agg(*[_count_if(c).alias(name) for name, c in conditions.items()])
+    check = F.when(step == "document_check", F.col("documentCheckId"))
+    per_check = (
+        _stage_steps(steps, start)
+        .groupBy("biometricId", week_end_sunday("createdAt").alias(WEEK), check.alias("checkId"))
+        .agg(*[_count_if(c).alias(name) for name, c in conditions.items()], F.count("*").alias("steps"))
+    )
+    answered = left_lookup(
+        per_check, doc_checks.select("id", "entityResponse"), "checkId", F.struct("biometricId", WEEK)
+    )
+
+    def answers(value: int) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("entityResponse") == value, F.col("steps"))), F.lit(0))
+
+    names = ["gov_validated", "gov_not_validated", *conditions]
+    per_session = answered.groupBy("biometricId", WEEK).agg(
+        answers(1).alias("gov_validated"),
+        answers(0).alias("gov_not_validated"),
+        *[F.sum(name).alias(name) for name in conditions],
     )
     sums = (
         per_session.join(_owned_sessions(sessions), "biometricId")
         .groupBy("companyId", WEEK)
-        .agg(F.count("*").alias("kyc_sessions_total"), *[F.sum(name).alias(name) for name in conditions])
+        .agg(F.count("*").alias("kyc_sessions_total"), *[F.sum(name).alias(name) for name in names])
     )
-    return sums.select("companyId", _company_name(), WEEK, "kyc_sessions_total", *conditions)
+    return sums.select("companyId", _company_name(), WEEK, "kyc_sessions_total", *names)
 
 
 # --- Licences ---------------------------------------------------------------
