@@ -1,14 +1,17 @@
 """Exports to one row per company and week (or per week, for sign-ups).
 
-Plan, status and app labels stay long (``connect_long``, ``kyc_long``, ``marketplace_long``). A wide
-frame collects the labels of a company and week into one map, in the aggregation that groups the
-rows anyway, and takes its columns from the map. So their number costs no aggregation buffer,
-and there is no limit to it.
+Plan, status and app labels stay long in ``connect_long``, ``kyc_long`` and ``marketplace_long``. A wide
+frame of few labels is one aggregation with a sum per label. With more labels, rows are dealt by
+company and week once, summed by name there, and the columns are taken from a map of the
+sums, so that neither aggregation buffers nor code grow with the labels. Both give the same
+columns, and their number has no limit.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
+from operator import add
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,29 +24,37 @@ from .clean import with_company_key
 from .weekly import UNKNOWN_PLAN
 
 KEYS = ["companyId", WEEK]
+#: Up to so many labels one aggregation has a sum for each; more go through a map. No label is left out.
+FEW_LABELS = 200
 
 
-def column_names(df: DataFrame, *names: Column) -> list[str]:
-    """Distinct column names that the labels give, in order.
+def few(labels: Sequence[object]) -> bool:
+    """Whether one aggregation with a sum per label is the shorter way; the result is the same."""
+    return len(labels) <= FEW_LABELS
 
-    They are the columns of the wide frame, so the driver has to know all of them.
-    """
-    return sorted(r[0] for r in df.select(F.explode(F.array(*names)).alias("name")).distinct().collect())
+
+def labels_of(df: DataFrame, *labels: str) -> list[tuple]:
+    """Distinct labels in order. They are the wide frame's columns, so the driver must know them."""
+    return sorted(map(tuple, df.select(*labels).distinct().collect()))
 
 
-def cell(name: Column, value: Column) -> Column:
-    return F.struct(name.alias("name"), value.alias("value"))
+def grouped_labels(pairs: Iterable[tuple[str, str]]) -> dict[str, list[str]]:
+    """Labels per column name, in name order; labels with the same name share a column."""
+    columns: dict[str, list[str]] = {}
+    for name, label in sorted(pairs):
+        columns.setdefault(name, []).append(label)
+    return columns
 
 
-def sums_by_name(cells: Column) -> Column:
-    """Map of the summed values of collected cells by name, in name order."""
-    names = F.array_sort(F.array_distinct(F.transform(cells, lambda c: c["name"])))
+def by_key(df: DataFrame) -> DataFrame:
+    """Rows dealt by company and week once, so that groupings within a key need no further shuffle."""
+    return df.repartition(*KEYS)
 
-    def total(name: Column) -> Column:
-        same = F.transform(F.filter(cells, lambda c: c["name"] == name), lambda c: c["value"])
-        return F.aggregate(F.slice(same, 2, F.size(same)), F.element_at(same, 1), lambda a, v: a + v)
 
-    return F.map_from_arrays(names, F.transform(names, total))
+def columns_of(sums: DataFrame, *more: Column) -> DataFrame:
+    """One row per key with a map of its ``name`` and ``value`` rows, of which a name has one."""
+    cells = F.collect_list(F.struct("name", "value"))
+    return sums.groupBy(*KEYS).agg(F.map_from_entries(cells).alias("columns"), *more)
 
 
 def spread(sums: str, names: Iterable[str]) -> list[Column]:
@@ -112,17 +123,30 @@ def prepare_connect(df: DataFrame) -> DataFrame:
     if label is None:
         return rows.groupBy(*KEYS).agg(F.sum("connect_licenses").alias("connect_licenses"))
 
-    value = F.col("connect_licenses")
     named = rows.withColumn("plan", label)
-    names = column_names(named.select("plan").distinct(), _plan_column(F.col("plan")))
-    grouped = named.groupBy(*KEYS).agg(
-        sums_by_name(F.collect_list(cell(F.col("plan"), value))).alias("plans"),
-        sums_by_name(F.collect_list(cell(_plan_column(F.col("plan")), value))).alias("columns"),
-        F.sum(value).alias("connect_licenses"),
+    plans_by_column = grouped_labels(labels_of(named.select("plan").distinct().select(_plan_column(F.col("plan")).alias("name"), "plan"), "name", "plan"))
+    names = list(plans_by_column)
+    plans = sorted(plan for same in plans_by_column.values() for plan in same)
+    if few(plans):
+        held = {plan: F.col(f"__{i}") for i, plan in enumerate(plans)}
+        sums = named.groupBy(*KEYS).agg(
+            *conditional_sums("connect_licenses", {f"__{i}": F.col("plan") == x for i, x in enumerate(plans)}),
+            F.sum("connect_licenses").alias("connect_licenses"),
+        )
+        return sums.select(
+            *KEYS,
+            *[reduce(add, (held[x] for x in same)).alias(name) for name, same in plans_by_column.items()],
+            "connect_licenses",
+            F.concat_ws(", ", *[F.when(held[x] > 0, x) for x in plans]).alias("connect_plan_list"),
+        )
+    per_plan = by_key(named).groupBy(*KEYS, "plan").agg(F.sum("connect_licenses").alias("value"))
+    per_column = per_plan.groupBy(*KEYS, _plan_column(F.col("plan")).alias("name")).agg(
+        F.sum("value").alias("value"), F.collect_list(F.when(F.col("value") > 0, F.col("plan"))).alias("plans")
     )
-    used = F.map_keys(F.map_filter("plans", lambda plan, licences: licences > 0))
+    used = F.array_sort(F.flatten(F.collect_list("plans")))
+    grouped = columns_of(per_column, F.sum("value").alias("connect_licenses"), used.alias("plans"))
     return grouped.select(
-        *KEYS, *spread("columns", names), "connect_licenses", F.array_join(used, ", ").alias("connect_plan_list")
+        *KEYS, *spread("columns", names), "connect_licenses", F.array_join("plans", ", ").alias("connect_plan_list")
     )
 
 
@@ -152,16 +176,23 @@ def prepare_kyc(df: DataFrame) -> DataFrame:
     called "total" has no column beside its stage's total.
     """
     rows = _kyc_rows(df)
-    value = F.col("kyc_steps_count")
-    names = column_names(
-        rows.select("status_column", "stage_column").distinct(), F.col("status_column"), F.col("stage_column")
+    labels = labels_of(rows, "status_column", "stage_column")
+    stages = {stage for _, stage in labels} | {f"kyc_{s}_total" for s in KYC_STAGES}
+    names = sorted(stages | {status for status, _ in labels})
+    if few(names):
+        conditions = {n: F.col("stage_column" if n in stages else "status_column") == n for n in names}
+        total = F.sum("kyc_steps_count").alias("kyc_total")
+        return rows.groupBy(*KEYS).agg(*conditional_sums("kyc_steps_count", conditions), total)
+    status, stage = F.col("status_column"), F.col("stage_column")
+    both = F.array(
+        F.struct(F.nullif(status, stage).alias("name"), F.lit(False).alias("total")),
+        F.struct(stage.alias("name"), F.lit(True).alias("total")),
     )
-    # One of the two cells stays where both names are the same.
-    status = F.when(F.col("status_column") != F.col("stage_column"), cell(F.col("status_column"), value))
-    cells = F.concat(F.collect_list(status), F.collect_list(cell(F.col("stage_column"), value)))
-    grouped = rows.groupBy(*KEYS).agg(sums_by_name(cells).alias("columns"), F.sum(value).alias("kyc_total"))
-    fixed = {f"kyc_{s}_total" for s in KYC_STAGES}
-    return grouped.select(*KEYS, *spread("columns", sorted({*names, *fixed})), "kyc_total")
+    cells = by_key(rows.select(*KEYS, "kyc_steps_count", "status_column", "stage_column"))
+    cells = cells.select(*KEYS, "kyc_steps_count", F.inline(both)).where(F.col("name").isNotNull())
+    sums = cells.groupBy(*KEYS, "name", "total").agg(F.sum("kyc_steps_count").alias("value"))
+    grouped = columns_of(sums, F.sum(F.when(F.col("total"), F.col("value"))).alias("kyc_total"))
+    return grouped.select(*KEYS, *spread("columns", names), "kyc_total")
 
 
 def prepare_hil_gov(df: DataFrame) -> DataFrame:
@@ -194,12 +225,15 @@ def marketplace_wide(long: DataFrame) -> DataFrame:
     """One column per app and their total. Apps with the same column name are summed."""
     rows = with_company_key(typed_export(long, ["marketplace_install_count"], "marketplace", ["app_name"]))
     column = F.concat(F.lit("marketplace_app_"), slug(F.col("app_name"), "unknown_app"))
-    names = column_names(rows.select("app_name").distinct(), column)
-    value = F.col("marketplace_install_count")
-    grouped = rows.groupBy(*KEYS).agg(
-        sums_by_name(F.collect_list(cell(column, value))).alias("columns"),
-        F.sum(value).alias("marketplace_install_total"),
-    )
+    apps = grouped_labels(labels_of(rows.select("app_name").distinct().select(column.alias("name"), "app_name"), "name", "app_name"))
+    names = list(apps)
+    if few(names):
+        return rows.groupBy(*KEYS).agg(
+            *conditional_sums("marketplace_install_count", {n: F.col("app_name").isin(same) for n, same in apps.items()}),
+            F.sum("marketplace_install_count").alias("marketplace_install_total"),
+        )
+    sums = by_key(rows).groupBy(*KEYS, column.alias("name")).agg(F.sum("marketplace_install_count").alias("value"))
+    grouped = columns_of(sums, F.sum("value").alias("marketplace_install_total"))
     return grouped.select(*KEYS, *spread("columns", names), "marketplace_install_total")
 
 

@@ -211,6 +211,29 @@ def test_thousands_of_labels(spark):
     assert tuple(one) == (3, 0)
 
 
+def test_many_and_few_labels_agree(frame, monkeypatch):
+    licences = frame(
+        "companyId STRING, week_end_sunday DATE, plan_tier_display_name STRING, connect_licenses BIGINT",
+        [("1", W1, "A b", 1), ("1", W1, "a-B", 2), ("1", W1, "c", 0), ("2", W1, "c", 4), ("2", W1, "A b", 5), ("2", W2, None, 1)],
+    )
+    steps = frame(
+        "companyId STRING, week_end_sunday DATE, stepName STRING, status STRING, kyc_steps_count BIGINT",
+        [("1", W1, "liveness", "Total", 3), ("1", W1, "Liveness", "ok", 4), ("2", W1, "other", "ok", 1), ("2", W1, None, "ok", 9)],
+    )
+    apps = frame(
+        "companyId STRING, week_end_sunday DATE, app_name STRING, marketplace_install_count BIGINT",
+        [("1", W1, "Slack", 2), ("1", W1, "SLACK", 3), ("2", W2, "x y", 1)],
+    )
+
+    def all_three():
+        frames = [prepare.prepare_connect(licences), prepare.prepare_kyc(steps), prepare.marketplace_wide(apps)]
+        return [sorted(map(str, (r.asDict() for r in f.select(sorted(f.columns)).collect()))) for f in frames]
+
+    few = all_three()
+    monkeypatch.setattr(prepare, "FEW_LABELS", 0)
+    assert all_three() == few
+
+
 # --- Merge ------------------------------------------------------------------
 
 
