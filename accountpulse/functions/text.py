@@ -14,6 +14,8 @@ NULL_TOKENS = ("", "nan", "none")
 # WhatsApp conversation types: the four that are billed, the three that are reported.
 BILLED_TYPES = ("MARKETING", "MARKETING_LITE", "UTILITY", "AUTHENTICATION")
 REPORTED_TYPES = ("MARKETING", "UTILITY", "AUTHENTICATION")
+# White space at the ends of a text: control characters, then the space separators.
+WHITE_SPACE = "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 # ----------------------------------------------------------------------------
 
 PLAIN_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
@@ -22,7 +24,7 @@ SCIENTIFIC_NUMBER = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)[eE][+-]?[0-9]+$"
 
 def stripped(col: Column) -> Column:
     """Text without white space at its ends; tabs, line ends and no-break spaces count as such."""
-    return F.regexp_replace(col.cast("string"), r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
+    return F.btrim(col.cast("string"), F.lit(WHITE_SPACE))
 
 
 def has_company_id(col: Column) -> Column:
