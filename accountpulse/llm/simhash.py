@@ -255,7 +255,7 @@ def near_links(prints: DataFrame, distance: int = DISTANCE, group: int = GROUP)
     return links
 
 
-def _labelled(docs: DataFrame, id_column: str, text_column: str, distance: int, shingle: int) -> DataFrame:
+def labelled(docs: DataFrame, id_column: str, text_column: str, distance: int, shingle: int) -> DataFrame:
     """``id``, ``digest``, ``fp``, ``class_size``, ``root``, ``component_id``, one row per input row."""
     rows = stage(fingerprints(docs, id_column, text_column, shingle), "prints")
     classes = stage(rows.groupBy("fp").agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("class_size")), "classes")
@@ -280,7 +280,7 @@ def near_duplicates(
     where a component has no other, and it is null then. ``class_size`` counts the rows with the
     same fingerprint. Empty tables give an empty result; other columns are not read.
     """
-    return _labelled(docs, id_column, text_column, distance, shingle).select(
+    return labelled(docs, id_column, text_column, distance, shingle).select(
         F.col("id").alias(id_column),
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id",
@@ -301,7 +301,11 @@ def drop_near_duplicates(
     the least hash stays, and of rows that repeat both one stays. Null ids rank last. Texts
     without a word link to each other like any other text.
     """
-    rows = stage(_labelled(docs, id_column, text_column, distance, shingle), "labelled")
+    return least_rows(docs, stage(labelled(docs, id_column, text_column, distance, shingle), "labelled"), id_column, text_column)
+
+
+def least_rows(docs: DataFrame, rows: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """Of each ``root`` of ``rows`` (``id``, ``digest``, ``root``), the row of ``docs`` that ``drop_near_duplicates`` keeps."""
     rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
     kept = rows.groupBy("root").agg(F.min(rank).alias("k")).select("k.id", "k.digest")
     repeated = rows.groupBy("id", "digest").count().filter("count > 1").select("id", "digest")

@@ -1,0 +1,162 @@
+"""Texts of similar word shingles: MinHash bands propose pairs, the exact Jaccard index decides.
+
+A text's set is its different shingles of ``WORDS`` words. Bands of ``ROWS`` minima each are keys, and
+texts that share a key are candidates: a pair at Jaccard 0.8 shares none of ``BANDS`` keys with a
+probability of (1 - 0.8^4)^32 = 5e-8, a more similar pair with less. Only pairs whose sets meet
+``LEAST`` are linked.
+
+Texts that fingerprints have linked are never compared. A key with more than ``SMALL`` texts isn't
+expanded to pairs: first its least text is compared with all others, then the next 2, 4, 8 and so on
+with those that are still in other components, so a group of copies costs one pair for each text.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..sources.staging import stage
+from .common import column_lists, map_batches
+from .components import components
+from .simhash import DISTANCE, SHINGLE, labelled, least_rows, shingle_hashes
+
+#: Words in a shingle.
+WORDS = 5
+#: Sets link where ``LEAST[1]`` times the intersection is ``LEAST[0]`` times the union or more.
+LEAST = (4, 5)
+BANDS, ROWS = 32, 4
+#: Up to this many texts of a key are all compared.
+SMALL = 24
+#: Shingles that are hashed at once.
+BLOCK = 2048
+#: Shingle sets that a worker keeps while it compares.
+MEMORY = 64
+
+
+def _constants(name: str, count: int) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(f"{name}{i}") | 1 for i in range(count)], np.uint64)
+
+
+FACTORS, SHIFTS = (_constants(n, BANDS * ROWS).astype(np.uint32) for n in ("factor", "shift"))
+MIX, OFFSETS = _constants("mix", ROWS), _constants("offset", BANDS)
+
+
+def band_keys(hashes: list[int]) -> np.ndarray:
+    """The ``BANDS`` keys of a set of hashes that isn't empty."""
+    short = (np.array(hashes, np.uint64) >> np.uint64(32)).astype(np.uint32)
+    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
+    for at in range(0, len(short), BLOCK):
+        np.minimum(least, (short[at : at + BLOCK, None] * FACTORS + SHIFTS).min(0), out=least)
+    keys = (least.astype(np.uint64).reshape(BANDS, ROWS) * MIX).sum(1, dtype=np.uint64) + OFFSETS
+    return (keys ^ (keys >> np.uint64(29))) * MIX[0]
+
+
+def _key_batches(words: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for digests, texts in column_lists(batches):
+            own, keys = [], []
+            for digest, text in zip(digests, texts):
+                if hashes := shingle_hashes(text, words):
+                    own.append(digest)
+                    keys.append(band_keys(hashes))
+            flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1) * BANDS, pa.int32()), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.int64()), lists], ["digest", "keys"])
+
+    return run
+
+
+def _link_batches(words: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sets: dict[int, frozenset] = {}
+
+        def shingles(digest: int, text: str) -> frozenset:
+            if digest not in sets:
+                if len(sets) >= MEMORY:
+                    del sets[next(iter(sets))]
+                sets[digest] = frozenset(shingle_hashes(text, words))
+            return sets[digest]
+
+        for batch in batches:
+            a, b, left, right, u, v = (column.to_pylist() for column in batch.columns)
+            near = []
+            for i in range(len(a)):
+                one, two = shingles(a[i], left[i]), shingles(b[i], right[i])
+                both = len(one & two)
+                near.append(LEAST[1] * both >= LEAST[0] * (len(one) + len(two) - both))
+            links = pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            yield links.filter(pa.array(near, pa.bool_()))
+
+    return run
+
+
+def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``a``, ``b`` with their roots: texts of one key in different components."""
+    one = left.select("key", F.col("digest").alias("a"), F.col("root").alias("u"))
+    two = right.select("key", F.col("digest").alias("b"), F.col("root").alias("v"))
+    found = one.join(two, "key").filter("u <> v")
+    swap = F.col("a") > F.col("b")
+    return found.select(*(F.when(swap, F.col(y)).otherwise(F.col(x)).alias(x) for x, y in ("ab", "ba", "uv", "vu")))
+
+
+def similar_roots(docs: DataFrame, rows: DataFrame, text_column: str = "text", words: int = WORDS, small: int = SMALL) -> DataFrame:
+    """``node``, ``root`` for the roots of ``rows`` that similar texts join.
+
+    ``rows`` has ``digest`` (a hash of the text) and ``root``. Texts without a word have no shingles
+    and join nothing.
+    """
+    texts = docs.filter(F.col(text_column).isNotNull()).select(F.xxhash64(text_column).alias("digest"), F.col(text_column).alias("text"))
+    keys = map_batches(texts, _key_batches(words), "digest long, keys array<long>")
+    owners = rows.select("digest", "root").distinct()
+    cells = keys.select("digest", F.explode("keys").alias("key")).distinct()
+    members = stage(cells.join(owners, "digest"), "bands")
+    links, known, low = None, None, 0
+    while True:
+        sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+        # Small keys are settled by the first round, of others the texts of rank ``low`` and less.
+        opened = sizes.filter((F.col("least") < F.col("most")) & (F.col("n") > (max(low, small) if low else 1)))
+        live = stage(members.join(opened.select("key", "n"), "key"), "live")
+        if live.isEmpty():
+            break
+        large = live.filter(F.col("n") > small)
+        rank = F.row_number().over(Window.partitionBy("key").orderBy("digest"))
+        first = large.withColumn("rank", rank).filter(F.col("rank") <= 2 * low + 1).filter(F.col("rank") > low)
+        pairs = _pairs(first, large)
+        if not low:
+            few = live.filter(F.col("n") <= small)
+            pairs = pairs.unionByName(_pairs(few, few))
+            known = stage(texts.join(live.select("digest").distinct(), "digest", "left_semi").dropDuplicates(["digest"]), "texts")
+        pairs = stage(pairs.distinct(), "pairs")
+        left, right = known.toDF("a", "left"), known.toDF("b", "right")
+        told = pairs.join(left, "a").join(right, "b").select("a", "b", "left", "right", "u", "v")
+        found = stage(map_batches(told, _link_batches(words), "u long, v long").distinct(), "similar")
+        links = found if links is None else links.unionByName(found)
+        named = components(links)
+        members = stage(
+            members.join(named.toDF("root", "to"), "root", "left").select("key", "digest", F.coalesce("to", "root").alias("root")), "bands"
+        )
+        low = 2 * low + 1
+    if links is None:
+        return rows.sparkSession.createDataFrame([], "node long, root long")
+    return components(links)
+
+
+def drop_similar(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    distance: int = DISTANCE,
+    shingle: int = SHINGLE,
+    words: int = WORDS,
+    small: int = SMALL,
+) -> DataFrame:
+    """``simhash.drop_near_duplicates`` with components that are joined by similar texts as well."""
+    rows = stage(labelled(docs, id_column, text_column, distance, shingle), "labelled")
+    named = similar_roots(docs, rows, text_column, words, small).toDF("root", "to")
+    moved = rows.join(named, "root", "left").select("id", "digest", F.coalesce("to", "root").alias("root"))
+    return least_rows(docs, stage(moved, "labelled"), id_column, text_column)

@@ -8,11 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from accountpulse.llm import bpe, decontaminate, exact_dedup, quality, simhash
+from accountpulse.llm import bpe, decontaminate, exact_dedup, quality, simhash, similar
 from accountpulse.llm.common import table
 from accountpulse.llm.queries import VOCABULARY
 from accountpulse.sources.staging import stage
 
+#: Whether the near-duplicate stage also links texts at a five-word Jaccard index of 0.8. Off, because
+#: ``test_stages_against_brute_force`` holds the stage to links of four bits.
+SIMILAR = False
+
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """Documents that the classifier, with its sites' evidence, accepts."""
@@ -27,7 +31,9 @@ def exact_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of linked fingerprints."""
+    """One document of each group of linked fingerprints, with ``SIMILAR`` of linked or similar texts."""
+    if SIMILAR:
+        return similar.drop_similar(docs)
     return simhash.drop_near_duplicates(docs)
 
 

@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter, defaultdict
 from hashlib import sha256
@@ -6,7 +7,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from accountpulse.llm import exact_dedup, repeats, simhash, suffixes
+from accountpulse.llm import exact_dedup, repeats, simhash, similar, suffixes
 from accountpulse.llm.components import components
 
 from . import awkward
@@ -109,6 +110,43 @@ def test_near_rows_stay_whole(spark):
     assert sorted(roots[fingerprint(r["text"])] for r in stays) == sorted(set(roots.values()))
 
 
+@pytest.mark.parametrize("small", [24, 2])
+def test_similar_texts_against_all_pairs(spark, small):
+    """Copies with ever more changed words, on both sides of the limit; one group is larger than ``small``."""
+    pick = random.Random(9)
+
+    def words(n):
+        return ["".join(pick.choice("abcdefgh") for _ in range(6)) for _ in range(n)]
+
+    rows = []
+    for size in (6, 40, 400):
+        base = words(size)
+        for changes in [0, 0, 1, 1, 1, 2, 3, 4, 6, 8, 10, 12]:
+            new = list(base)
+            for at in pick.sample(range(size), min(changes * size // 400 + (changes > 0), size)):
+                new[at] = words(1)[0]
+            rows.append(" ".join(new))
+    base = words(300)
+    rows += [" ".join([*base[:i], "x", *base[i + 1 :]]) for i in range(0, 300, 10)]
+    rows += [None, "", "  ", "one", "One", "two words"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    root = list(range(len(rows)))
+    sets = []
+    for text in rows:
+        own = re.findall(r"\S+", lowered(text))
+        sets.append({tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set())
+    prints = [fingerprint(t) for t in rows]
+    for i in range(len(rows)):
+        for j in range(i):
+            both, either = len(sets[i] & sets[j]), len(sets[i] | sets[j])
+            if root[i] != root[j] and ((prints[i] ^ prints[j]).bit_count() <= 4 or either and 5 * both >= 4 * either):
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if r == old else r for r in root]
+    stays = {r["doc_id"] for r in similar.drop_similar(docs, small=small).collect()}
+    assert stays == set(root)
+    assert stays < {r["doc_id"] for r in simhash.drop_near_duplicates(docs).collect()}
+
+
 def test_components_of_a_chain(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 100), (7, 3), (None, 1)]
     found = {r["node"]: r["root"] for r in components(spark.createDataFrame(chain, "u long, v long")).collect()}
