@@ -28,7 +28,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .common import column_lists, map_batches
 
@@ -347,20 +347,36 @@ def token_digests(docs: DataFrame, path: str, id_column: str = "doc_id", text_co
     return map_batches(source, _digest_batches(path), out).withColumnRenamed("id", id_column)
 
 
-def _token_batches(path: str) -> Callable:
+def _token_batches(path: str, decoded: bool) -> Callable:
+    def digest(ids: array) -> str:
+        machine, text = Decoder(path), sha256()
+        for start in range(0, len(ids), IDS):
+            text.update(machine.feed(ids[start : start + IDS]).encode())
+        text.update(machine.finish().encode())
+        return text.hexdigest()
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = encoder(path)
         for batch in batches:
-            ids = [array("I", b"".join(coder.blocks(t or ""))).tolist() for t in batch.column(0).to_pylist()]
-            columns = [*batch.columns[1:], pa.array(ids, pa.list_(pa.int32()))]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[1:], "tokens"])
+            ids = [array("I", b"".join(coder.blocks(t or ""))) for t in batch.column(0).to_pylist()]
+            columns = [*batch.columns[1:], pa.array([x.tolist() for x in ids], pa.list_(pa.int32()))]
+            names = [*batch.schema.names[1:], "tokens"]
+            if decoded:
+                columns.append(pa.array(list(map(digest, ids)), pa.string()))
+                names.append("decoded_sha256")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return run
 
 
-def tokenized(docs: DataFrame, path: str, text_column: str = "text") -> DataFrame:
-    """``docs`` with a last column ``tokens`` (replacing one of that name), one row per input row."""
-    rest = docs.drop("tokens")
+def tokenized(docs: DataFrame, path: str, text_column: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` with a last column ``tokens`` (replacing one of that name), one row per input row.
+
+    With ``decoded``, ``decoded_sha256`` follows: the digest of the text that the tokens decode to.
+    """
+    more = [StructField("tokens", ArrayType(IntegerType()))]
+    if decoded:
+        more.append(StructField("decoded_sha256", StringType()))
+    rest = docs.drop(*(f.name for f in more))
     source = rest.select(F.col(text_column).alias("__text"), *rest.columns)
-    out = StructType([*rest.schema.fields, StructField("tokens", ArrayType(IntegerType()))])
-    return map_batches(source, _token_batches(path), out)
+    return map_batches(source, _token_batches(path, decoded), StructType([*rest.schema.fields, *more]))

@@ -43,8 +43,8 @@ def benchmark_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with their token ids."""
-    return bpe.tokenized(docs, public_tokenizers.path(VOCABULARY))
+    """Documents with their token ids and the digest of what these decode to."""
+    return bpe.tokenized(docs, public_tokenizers.path(VOCABULARY), decoded=True)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

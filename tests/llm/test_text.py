@@ -53,6 +53,13 @@ def test_decoding_bytes():
     assert "".join(machine.feed([i]) for i in ids) + machine.finish() == "naïve 😂 text "
 
 
+def test_tokens_are_decoded(spark, library):
+    docs = awkward.frame(spark, awkward.documents())
+    for r in bpe.tokenized(docs, PATH, decoded=True).collect():
+        back = library.decode(r["tokens"], skip_special_tokens=False)
+        assert r["decoded_sha256"] == sha256(back.encode()).hexdigest()
+
+
 def test_token_digests(spark, library):
     rows = awkward.documents()
     docs = awkward.frame(spark, rows)
