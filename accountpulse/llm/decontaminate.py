@@ -120,10 +120,9 @@ def _items(items: tuple, rate: float) -> Items:
 def item_blocks(
     benchmark: DataFrame, item_column: str = "item_id", text_column: str = "text", block_chars: int = BLOCK_CHARS
 ) -> Iterator[tuple[tuple[int, str], ...]]:
-    """Items in blocks, one at a time; null and blank items match nothing and are left out."""
-    items = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text")).filter(
-        F.length(F.trim("text")) > 0
-    )
+    """Different items in blocks, one at a time; null and blank items match nothing and are left out."""
+    named = benchmark.select(F.col(item_column).alias("item"), F.col(text_column).alias("text"))
+    items = named.filter(F.length(F.trim("text")) > 0).distinct()
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     count = int(total // block_chars) + 1
     for block in range(count):
@@ -132,6 +131,9 @@ def item_blocks(
             yield tuple(sorted(((r["item"], normalised(r["text"])) for r in rows), key=repr))
 
 
+FOUND = "id long, text string, items array<long>, edits array<int>"
+
+
 def contaminated(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -146,33 +148,41 @@ def contaminated(
 
     Case and spacing don't count. Null and empty texts match nothing; rows that repeat give their
     pairs again; items that repeat under one id give one pair with the fewest edits. Ids may be
-    null. Without documents or items the result is empty. No shuffle.
+    null. Without documents or items the result is empty. Documents aren't shuffled.
     """
 
-    def search(items: tuple) -> Callable:
+    def search(items: tuple, first: bool, last: bool) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             finder = _items(items, rate)
             for batch in batches:
-                out = [
-                    (key, item, edits)
-                    for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-                    for item, edits in finder.matches(text).items()
+                texts = batch.column(1)
+                found = [finder.matches(t) for t in texts.to_pylist()]
+                if not first:
+                    # An item's texts may lie in several blocks: the fewest edits count.
+                    for own, names, edits in zip(found, batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                        for item, n in zip(names, edits):
+                            own[item] = min(n, own.get(item, n))
+                columns = [
+                    batch.column(0),
+                    pa.nulls(len(texts), texts.type) if last else texts,
+                    pa.array([list(f) for f in found], pa.list_(pa.int64())),
+                    pa.array([list(f.values()) for f in found], pa.list_(pa.int32())),
                 ]
-                columns = list(zip(*out)) or [(), (), ()]
-                kinds = (pa.int64(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], ["id", "item", "edits"])
+                yield pa.RecordBatch.from_arrays(columns, ["id", "text", "items", "edits"])
 
         return run
 
-    source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    pairs = [
-        map_batches(source, search(block), "id long, item long, edits int")
-        for block in item_blocks(benchmark, item_column, item_text_column, block_chars)
-    ]
-    result = source.sparkSession.createDataFrame([], "id long, item long, edits int")
-    for found in pairs:
-        result = result.unionByName(found)
-    return result.toDF(id_column, item_column, "n_edits")
+    rows = source = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
+    before, number = None, 0
+    for block in item_blocks(benchmark, item_column, item_text_column, block_chars):
+        if before:
+            rows = map_batches(rows, search(before, number == 1, False), FOUND)
+        before, number = block, number + 1
+    if not before:
+        return source.sparkSession.createDataFrame([], "id long, item long, edits int").toDF(id_column, item_column, "n_edits")
+    rows = map_batches(rows, search(before, number == 1, True), FOUND)
+    pairs = rows.select("id", F.explode(F.arrays_zip("items", "edits")).alias("pair"))
+    return pairs.select("id", "pair.items", "pair.edits").toDF(id_column, item_column, "n_edits")
 
 
 def drop_contaminated(

@@ -126,6 +126,18 @@ def test_decontamination_against_cells(spark):
     assert decontaminate.contaminated(frame.limit(0), bench).count() == 0
 
 
+def test_repeated_items_in_many_blocks(spark):
+    """One pair a row with the fewest edits, wherever the texts of an item lie."""
+    docs = [(1, "one two three four five six"), (1, "one two three four five six"), (None, "x seven eight nine ten y"), (2, "none")]
+    items = [(3, "one two three four five six"), (3, "one two three four five sax"), (3, "one twa three four five"), (4, "seven eight nine ten")]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame(items * 3, "item_id long, text string")
+    for block in (1_000_000, 5, 20, 40):
+        found = decontaminate.contaminated(frame, bench, rate=0.1, block_chars=block)
+        assert Counter(map(tuple, found.collect())) == Counter({(1, 3, 0): 2, (None, 4, 0): 1})
+    assert sum(map(len, decontaminate.item_blocks(bench))) == len(items)
+
+
 def test_pseudonyms(spark):
     texts = [
         "4111 1111 1111 1111 4111111111111111",
