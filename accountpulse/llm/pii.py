@@ -14,6 +14,7 @@ Everything is a projection: no shuffle, no Python.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,7 @@ FIRST_DAY, DAY_PARTS = "1800-01-01", (189, 773)
 NAME = r"\p{L}\p{N}._%+-"
 EDGE, END = r"(?<![\p{L}\p{N}])", r"(?![\p{L}\p{N}])"
 PATTERNS = {
-    "email": rf"(?<![{NAME}])[{NAME}]++@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)+",
+    "email": rf"(?<![{NAME}])[{NAME}]++@[\p{{L}}\p{{N}}-]++(?:\.[\p{{L}}\p{{N}}-]++)++",
     "ip": rf"{EDGE}(?<![0-9]\.)[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}{END}(?!\.[0-9])",
     "date": rf"{EDGE}(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}){END}(?![-/][0-9])",
     "ssn": rf"{EDGE}[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}{END}(?!-[0-9])",
@@ -38,6 +39,11 @@ PATTERNS = {
 }
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _any() -> str:
     # The card pattern's own group is the first and only one.
     return "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -70,13 +76,25 @@ def _padded(number: Column, size: Column) -> Column:
 
 def permuted_digits(digits: Column, key: Column, tweak: str, inverse: bool = False) -> Column:
     """A number of as many digits."""
-    size = F.length(digits)
-    half = F.floor(size / 2).cast("int")
-    ten = F.lit(10.0)
-    a, b = F.pow(ten, half).cast("long"), F.pow(ten, size - half).cast("long")
-    name = F.concat(F.lit(f"{tweak}:"), size.cast("string"))
-    out = feistel(F.substring(digits, F.lit(1), half), F.substring(digits, half + 1, size - half), a, b, key, name, inverse)
-    return F.concat(_padded(out["l"], half), _padded(out["r"], size - half))
+
+    def halves(given: Column) -> Column:
+        size, ten = F.length(given), F.lit(10.0)
+        half = F.floor(size / 2).cast("int")
+        return F.struct(
+            F.substring(given, F.lit(1), half).alias("left"),
+            F.substring(given, half + 1, size - half).alias("right"),
+            half.alias("short"),
+            (size - half).alias("long"),
+            F.pow(ten, half).cast("long").alias("a"),
+            F.pow(ten, size - half).cast("long").alias("b"),
+            F.concat(F.lit(f"{tweak}:"), size.cast("string")).alias("name"),
+        )
+
+    def permuted(parts: Column) -> Column:
+        moved = feistel(parts["left"], parts["right"], parts["a"], parts["b"], key, parts["name"], inverse)
+        return let(moved, lambda out: F.concat(_padded(out["l"], parts["short"]), _padded(out["r"], parts["long"])))
+
+    return let(digits, lambda given: let(halves(given), permuted))
 
 
 def refilled(shape: Column, digits: Column) -> Column:
@@ -108,45 +126,62 @@ def luhn_sum(digits: Column) -> Column:
 
 
 def _card(value: Column, key: Column, inverse: bool) -> tuple[Column, Column]:
+    def checked(body: Column) -> Column:
+        check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
+        return refilled(value, F.concat(body, check.cast("string")))
+
+    def valid(digits: Column) -> Column:
+        return (luhn_sum(digits) % 10 == 0) & F.length(digits).between(13, 19)
+
     digits = _digits(value)
     body = permuted_digits(F.substring(digits, F.lit(1), F.length(digits) - 1), key, "card", inverse)
-    check = F.pmod(10 - luhn_sum(F.concat(body, F.lit("0"))) % 10, F.lit(10))
-    valid = (luhn_sum(digits) % 10 == 0) & F.length(digits).between(13, 19)
-    return valid, refilled(value, F.concat(body, check.cast("string")))
+    return let(digits, valid), let(body, checked)
 
 
 def _ip(value: Column, key: Column, inverse: bool) -> tuple[Column, Column]:
     parts = F.transform(F.split(value, r"\."), lambda p: p.cast("long"))
     side = F.lit(1 << 16)
-    out = feistel(parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], side, side, key, F.lit("ip"), inverse)
-    octets = [F.floor(out[h] / 256) if high else out[h] % 256 for h in "lr" for high in (True, False)]
+    moved = feistel(parts[0] * 256 + parts[1], parts[2] * 256 + parts[3], side, side, key, F.lit("ip"), inverse)
+
+    def address(out: Column) -> Column:
+        octets = [F.floor(out[h] / 256) if high else out[h] % 256 for h in "lr" for high in (True, False)]
+        return F.concat_ws(".", *(o.cast("long").cast("string") for o in octets))
+
     # An address with leading zeros would not come back as it was.
     plain = F.concat_ws(".", *(parts[i].cast("string") for i in range(4))) == value
-    return plain & F.forall(parts, lambda p: p <= 255), F.concat_ws(".", *(o.cast("long").cast("string") for o in octets))
+    return plain & F.forall(parts, lambda p: p <= 255), let(moved, address)
 
 
 def _date(value: Column, key: Column, inverse: bool) -> tuple[Column, Column]:
     forms = [("-", "yyyy-MM-dd"), ("/", "MM/dd/yyyy"), (".", "dd.MM.yyyy")]
     day = F.coalesce(*(F.when(F.contains(value, F.lit(sign)), F.try_to_timestamp(value, F.lit(form))) for sign, form in forms)).cast("date")
     a, b = (F.lit(n).cast("long") for n in DAY_PARTS)
-    number = F.datediff(day, F.lit(FIRST_DAY).cast("date"))
-    out = feistel(F.floor(number / b), number % b, a, b, key, F.lit("date"), inverse)
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), (out["l"] * b + out["r"]).cast("int"))
-    text = reduce(
-        lambda rest, form: F.when(F.contains(value, F.lit(form[0])), F.date_format(new, form[1])).otherwise(rest), forms, F.lit(None)
-    )
-    return number.between(0, DAY_PARTS[0] * DAY_PARTS[1] - 1), text
+    first = F.lit(FIRST_DAY).cast("date")
+    number = F.datediff(day, first)
+    moved = let(number, lambda n: feistel(F.floor(n / b), n % b, a, b, key, F.lit("date"), inverse))
+
+    def written(new: Column) -> Column:
+        return reduce(
+            lambda rest, form: F.when(F.contains(value, F.lit(form[0])), F.date_format(new, form[1])).otherwise(rest), forms, F.lit(None)
+        )
+
+    new = let(moved, lambda out: F.date_add(first, (out["l"] * b + out["r"]).cast("int")))
+    return number.between(0, DAY_PARTS[0] * DAY_PARTS[1] - 1), let(new, written)
 
 
 def _ssn(value: Column, key: Column, inverse: bool) -> tuple[Column, Column]:
     area, group, serial = (F.split(value, "-")[i].cast("long") for i in range(3))
     valid = area.between(1, 899) & (area != 666) & (group > 0) & (serial > 0)
     place = area - 1 - F.when(area > 666, 1).otherwise(0)
-    out = feistel(place, (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999), key, F.lit("ssn"), inverse)
-    new = out["l"] + 1 + F.when(out["l"] + 1 >= 666, 1).otherwise(0)
-    three, two, four = F.lit(3), F.lit(2), F.lit(4)
-    parts = [_padded(new, three), _padded(F.floor(out["r"] / 9999) + 1, two), _padded(out["r"] % 9999 + 1, four)]
-    return valid, F.concat_ws("-", *parts)
+    moved = feistel(place, (group - 1) * 9999 + serial - 1, F.lit(898), F.lit(99 * 9999), key, F.lit("ssn"), inverse)
+
+    def written(out: Column) -> Column:
+        new = out["l"] + 1 + F.when(out["l"] + 1 >= 666, 1).otherwise(0)
+        three, two, four = F.lit(3), F.lit(2), F.lit(4)
+        parts = [_padded(new, three), _padded(F.floor(out["r"] / 9999) + 1, two), _padded(out["r"] % 9999 + 1, four)]
+        return F.concat_ws("-", *parts)
+
+    return valid, let(moved, written)
 
 
 def _phone(value: Column, key: Column, inverse: bool) -> tuple[Column, Column]:
