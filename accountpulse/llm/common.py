@@ -57,7 +57,22 @@ def map_batches(df: DataFrame, function: Callable, schema: object) -> DataFrame:
     return df.mapInArrow(function, schema)
 
 
-def map_groups(df: DataFrame, key: str, function: Callable, schema: object) -> DataFrame:
+def map_cogroups(left: DataFrame, by: list[str], right: DataFrame, to: list[str], function: Callable, schema: object) -> DataFrame:
+    """``applyInArrow`` on two tables' groups of equal keys, of bounded size, with this package's code at hand."""
+    _ship(left.sparkSession)
+    return left.groupBy(by).cogroup(right.groupBy(to)).applyInArrow(function, schema)
+
+
+#: Rows of a small table that may be broadcast.
+BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_within(df: DataFrame) -> DataFrame:
+    """A written table of narrow rows, to be broadcast if it has at most ``BROADCAST_ROWS``, else joined as it is."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def map_groups(df: DataFrame, key: str | list[str], function: Callable, schema: object) -> DataFrame:
     """``applyInArrow`` on groups of bounded size, with this package's code at hand."""
     _ship(df.sparkSession)
     return df.groupBy(key).applyInArrow(function, schema)

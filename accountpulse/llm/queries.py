@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, toxicity
+from . import language, merkle, packing, toxicity
 from .bpe import token_digests
-from .common import fold, table
+from .common import ascii_lower, fold, table
 from .decontaminate import contaminated
 from .exact_dedup import duplicate_groups
 from .pii import pseudonymised
@@ -19,6 +19,8 @@ from .warc import archived
 
 #: Vocabulary file of the token queries.
 VOCABULARY = "word_bpe_49k.json"
+#: Vocabulary file of the packing query.
+BYTES = "byte_bpe_50k.json"
 #: Key of the registered query only; a real one comes from a secret store.
 KEY = "registered query"
 
@@ -71,6 +73,23 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, model).withColumn("held_out", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)))
 
 
+def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    changed = [ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    altered = F.when(fold("doc_id", 3) == 0, merkle.leaf_digest(changed))
+    found = merkle.proofs(merkle.manifest(docs, altered=altered))
+    refolded = merkle.folded(F.coalesce("altered", "leaf"), F.col("path"))
+    shown = found.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.path_digest(F.col("path")).alias("proof_sha256"), refolded.alias("folded_root")
+    )
+    return shown.withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.packed(table(spark, folder, "documents"), public_tokenizers.path(BYTES))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 QUERIES = {
     "op1_suffix_arrays": op1_suffix_arrays,
     "op2_quality": op2_quality,
@@ -82,4 +101,6 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op12_merkle": op12_merkle,
+    "op13_packing": op13_packing,
 }
