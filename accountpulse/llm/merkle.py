@@ -246,7 +246,7 @@ def log_nodes(bands: Sequence[DataFrame]) -> DataFrame:
                         yield pa.record_batch(
                             {
                                 "group": [row["group"]] * count,
-                                "level": [band * DEPTH + level] * count,
+                                "level": pa.array([band * DEPTH + level] * count, pa.int32()),
                                 "index": index + first // ARITY**level,
                                 "node": [row["nodes"][RAW * p : RAW * p + RAW] for p in at],
                             }

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, merkle, packing, toxicity
+from . import language, merkle, packing, toxicity, whitening
 from .bpe import token_digests
 from .common import ascii_lower, fold, table
 from .decontaminate import contaminated
@@ -73,6 +73,23 @@ def op10_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity.scored(docs, model).withColumn("held_out", F.coalesce(fold("doc_id", 5) == 0, F.lit(False)))
 
 
+def op11_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    model = whitening.fit(vectors)
+    n, error, shares = (model.n, model.identity_error, model.explained.tolist()) if model else (0, 0.0, [0.0])
+    rows = whitening.whitened(vectors, model).select("*", F.posexplode("whitened").alias("place", "value"))
+    return rows.select(
+        "vec_id",
+        (F.col("place") + 1).alias("component"),
+        F.lit(n).cast("long").alias("n"),
+        "deviation",
+        F.col("value").alias("whitened"),
+        F.element_at(F.array(*map(F.lit, shares)), F.col("place") + 1).alias("explained"),
+        F.lit(error).alias("identity_error"),
+        "deviation_text",
+    )
+
+
 def op12_merkle(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     changed = [ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS]
@@ -101,6 +118,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_language": op9_language,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
     "op12_merkle": op12_merkle,
     "op13_packing": op13_packing,
 }

@@ -1,0 +1,123 @@
+import zlib
+from hashlib import sha256
+
+import pytest
+from pyspark.sql import functions as F
+
+from accountpulse.llm import merkle
+from accountpulse.llm.common import ascii_lower
+
+from . import awkward
+
+
+def digest(*texts):
+    return sha256("".join(texts).encode()).hexdigest()
+
+
+def leaf(row, text):
+    fields = (row[0], row[3], row[2], row[4], text)
+    return digest(*("-" if f is None else f"{len(str(f).encode())}:{f}" for f in fields))
+
+
+def tree(nodes):
+    """Levels of a tree, and per leaf its siblings level by level."""
+    levels = [nodes]
+    while len(levels[-1]) > 1:
+        levels.append([digest(*levels[-1][i : i + 8]) for i in range(0, len(levels[-1]), 8)])
+    paths = []
+    for at in range(len(nodes)):
+        path = []
+        for level in levels[:-1]:
+            start = at // 8 * 8
+            path.append((level[start:at], level[at + 1 : start + 8]))
+            at //= 8
+        paths.append(path)
+    return levels[-1][0], paths
+
+
+def expected(rows):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    groups = {}
+    for row in rows:
+        groups.setdefault(row[2], []).append((row[0] is not None, row[0] or 0, leaf(row, row[1]), row))
+    langs = sorted(groups, key=lambda g: (g is not None, (g or "").encode()))
+    trees = {g: tree([x[2] for x in sorted(groups[g], key=lambda x: x[:3])]) for g in langs}
+    root, above = tree([trees[g][0] for g in langs])
+    for g, upper in zip(langs, above):
+        subroot, paths = trees[g]
+        for (_, _, own, row), path in zip(sorted(groups[g], key=lambda x: x[:3]), paths):
+            changed = row[1] and row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0
+            node = leaf(row, row[1].translate(lower)) if changed else own
+            for before, after in path + upper:
+                node = digest(*before, node, *after)
+            proof = digest(*(d for before, after in path + upper for d in (*before, *after)))
+            yield row[0], own, subroot, root, proof, node, node == root
+
+
+def result(docs):
+    changed = [ascii_lower(F.col(c)) if c == "text" else F.col(c) for c in merkle.FIELDS]
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    built = merkle.manifest(docs, altered=F.when(crc % 3 == 0, merkle.leaf_digest(changed)))
+    found = merkle.proofs(built).withColumn("folded", merkle.folded(F.coalesce("altered", "leaf"), F.col("path")))
+    columns = ("key", "leaf", "subroot", "root", merkle.path_digest(F.col("path")), "folded", F.col("folded") == F.col("root"))
+    return built, [tuple(r) for r in found.select(*columns).collect()]
+
+
+def test_awkward_rows(spark):
+    rows = awkward.documents()
+    _, found = result(awkward.frame(spark, rows))
+    assert sorted(found, key=str) == sorted(expected(rows), key=str)
+
+
+def test_several_bands_and_a_group_with_most_rows(spark):
+    """Groups just below, at and beyond a builder's block, and a repeated row many times over."""
+    sizes = {"de": 2 * merkle.BLOCK + 9, "en": merkle.BLOCK, "fr": merkle.BLOCK + 1, "it": 8, "nl": 1, None: 65}
+    rows, k = [], 0
+    for lang, size in sizes.items():
+        for _ in range(size):
+            k += 1
+            rows.append((k * 7919 % 100_003, f"Text {k % 50}", lang, None, 3, 0, "k", "d", 1, "x"))
+    rows += [rows[0]] * 700
+    built, found = result(awkward.frame(spark, rows, 7))
+    assert len(built.groups) == 2
+    assert sorted(found, key=str) == sorted(expected(rows), key=str)
+    assert built.root() == found[0][3]
+
+
+def test_log_positions(spark):
+    """The log of every tree is complete, in postorder, and the closed form finds each node's children just before it."""
+    rows = [(i, f"t{i}", "en" if i < merkle.BLOCK + 77 else "fr", None, 1, 0, "k", "d", 1, "x") for i in range(merkle.BLOCK + 100)]
+    built, _ = result(awkward.frame(spark, rows))
+    nodes = {}
+    for r in merkle.log_nodes(built.groups).collect():
+        nodes.setdefault(r["group"], {})[r["position"]] = r
+    for group, size in ((":en", merkle.BLOCK + 77), (":fr", 23)):
+        log = nodes[group]
+        assert sorted(log) == list(range(sum(merkle.counts(size))))
+        height = len(merkle.counts(size)) - 1
+        for position, r in log.items():
+            assert position == merkle.place(r["level"], r["index"], size, height)
+            if r["level"]:
+                below = merkle.counts(size)[r["level"] - 1]
+                children = range(8 * r["index"], min(8 * r["index"] + 8, below))
+                at = [merkle.place(r["level"] - 1, c, size, height) for c in children]
+                assert at[-1] == position - 1
+                assert bytes(r["node"]).hex() == digest(*(bytes(log[p]["node"]).hex() for p in at))
+
+
+def test_empty_table(spark):
+    built, found = result(awkward.empty(spark))
+    assert found == [] and built.root() is None
+
+
+@pytest.mark.parametrize("leaves", [1, 2, 7, 8, 9, 63, 64, 65, 511, 512])
+def test_builder_order(leaves):
+    """Appending in completion order gives the closed form's places."""
+    builder = merkle.Builder()
+    for i in range(leaves):
+        builder.add(str(i).encode())
+    levels = merkle.counts(leaves)
+    log = builder.finish(len(levels) - 1)
+    assert len(log) == sum(levels)
+    for i in range(leaves):
+        assert log[merkle.place(0, i, leaves, len(levels) - 1)] == str(i).encode()
