@@ -16,44 +16,48 @@ import json
 import os
 import re
 import struct
-from array import array
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .bpe import byte_alphabet
+from .bpe import _packed, byte_alphabet
 from .common import broadcast_within, map_batches
 
 #: Tokens of a sequence, and the id that ends a document.
 SIZE, END = 2048, 1
 #: Partitions whose totals are summed by one task of the first pass.
 BUNDLE = 1024
-#: Words and parts of words that a worker remembers, and the longest of them; others are encoded each time.
-WORDS, LETTERS = 1 << 18, 40
 #: A space between two other characters that are no white space always begins a word of the vocabulary's own.
 SPACE = re.compile(r"(?<=\S)(?= \S)")
-#: A part that is one word by any version of Unicode.
-PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+")
-#: So do a sign or line break right after a Latin letter, and a letter after a single line break.
-SIGN = re.compile(r"(?<=[A-Za-zÀ-ÖØ-öø-ÿ])(?=[.,;:!?\n])|(?<=\S\n)(?=[A-Za-zÀ-ÖØ-öø-ÿ])")
+
+# --- Fixed values -----------------------------------------------------------
+# Words of a byte-level vocabulary.
+WORD = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# ----------------------------------------------------------------------------
 
 
 # --- Tokens -----------------------------------------------------------------
 
 
 def merger(tokenizer: object) -> Callable[[str], list[int]] | None:
-    """A faster merge of single words than the library's, if it provably gives the same ids, else None.
+    """A faster encoder of Latin-1 text than the library's, if it provably gives the same ids, else None.
 
     The library joins a pair that its merge list names, earliest entry first; ``tiktoken`` joins any two
     neighbours that make a token, lowest id first. These are the same steps if ids ascend along the
     merge list and the library turns each token's own bytes into just that token: were two other
-    neighbours ever to make the token, they would do so from its bytes alone as well.
+    neighbours ever to make the token, they would do so from its bytes alone as well. Both split words
+    by the same pattern, whose classes are settled for Latin-1 in every version of Unicode.
     """
-    model = json.loads(tokenizer.to_str())["model"]
+    stated = json.loads(tokenizer.to_str())
+    model, split = stated["model"], stated["pre_tokenizer"] or {}
+    plain = split.get("type") == "ByteLevel" and split.get("use_regex") and not split.get("add_prefix_space")
+    if not plain or stated["normalizer"] or model["type"] != "BPE":
+        return None
     order = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
     whole = all([t.id for t in tokenizer.model.tokenize(token)] == [i] for token, i in model["vocab"].items())
     byte_of = {c: b for b, c in enumerate(byte_alphabet())}
@@ -62,17 +66,15 @@ def merger(tokenizer: object) -> Callable[[str], list[int]] | None:
     import tiktoken
 
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["vocab"].items()}
-    words = tiktoken.Encoding("words", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
-    return words.encode_ordinary
+    return tiktoken.Encoding("words", pat_str=WORD, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
 
 class Encoder:
-    """Token ids of texts as little-endian 32-bit integers, word by word.
+    """Token ids of texts as little-endian unsigned 32-bit integers, as the tokenizers library gives them.
 
-    The vocabulary splits a text into words before it merges bytes. ``SPACE`` and ``SIGN`` are places
-    where it always does so, hence a text may be cut there, each part be encoded alone, and frequent
-    parts be remembered. A special token has no such place in it. Parts other than plain words go to
-    the tokenizers library.
+    A text in Latin-1 without special tokens goes through ``merger``. Any other is cut at spaces where
+    the vocabulary starts a word anyway (a special token holds none), and those of its parts that need it
+    go to the library.
     """
 
     def __init__(self, vocabulary: str) -> None:
@@ -82,48 +84,28 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(vocabulary)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.special = [token.content for token in self.tokenizer.get_added_tokens_decoder().values()]
         self.merged = merger(self.tokenizer)
-        #: Ids of a space and a word, by the word, and of parts of words as they are.
-        self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-
-    def _new(self, parts: set[str]) -> dict[str, bytes]:
-        """Ids of parts that aren't known, plain words by the faster merge."""
-        plain = [part for part in parts if PLAIN.fullmatch(part)] if self.merged else []
-        codes = {part: array("I", self.merged(part)).tobytes() for part in plain}
-        others = list(parts.difference(codes))
-        found = self.tokenizer.encode_batch_fast(others, add_special_tokens=False)
-        return codes | {part: array("I", e.ids).tobytes() for part, e in zip(others, found)}
-
-    def _pieces(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces of text that end where words end."""
-        cut = [SIGN.split(piece) for piece in pieces]
-        known = self.parts
-        new = self._new({part for parts in cut for part in parts if part not in known})
-        codes = [b"".join([known[part] if part in known else new[part] for part in parts]) for parts in cut]
-        if len(known) > WORDS:
-            known.clear()
-        known.update((part, code) for part, code in new.items() if len(part) <= LETTERS)
-        return codes
+
+    def simple(self, text: str) -> bool:
+        if any(token in text for token in self.special):
+            return False
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return False
+        return True
+
+    def _library(self, text: str) -> bytes:
+        return _packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
     def ids(self, text: str) -> bytes:
-        if not text:
-            return b""
-        first, *rest = text.split(" ")
-        codes = list(map(self.words.get, rest))
-        if None in codes:
-            new = list({word for word, code in zip(rest, codes) if code is None})
-            if not all(word and not word[0].isspace() and not word[-1].isspace() for word in new):
-                # Somewhere a space stands beside other white space.
-                return b"".join(self._pieces(SPACE.split(text)))
-            learned = dict(zip(new, self._pieces([" " + word for word in new])))
-            codes = [learned[word] if code is None else code for word, code in zip(rest, codes)]
-            if len(self.words) > WORDS:
-                self.words.clear()
-            self.words.update((word, code) for word, code in learned.items() if len(word) <= LETTERS)
-        if rest and (not first or first[-1].isspace()):
-            return b"".join(self._pieces(SPACE.split(text)))
-        return b"".join([*self._pieces([first]), *codes])
+        if self.merged is None:
+            return self._library(text)
+        if self.simple(text):
+            return _packed(self.merged(text))
+        runs = [(simple, "".join(parts)) for simple, parts in groupby(SPACE.split(text), key=self.simple)]
+        return b"".join(_packed(self.merged(run)) if simple else self._library(run) for simple, run in runs)
 
 
 @lru_cache(maxsize=2)

@@ -99,8 +99,8 @@ def test_empty_table(spark):
 def test_encoder_equals_library(library):
     """Texts of every kind of white space, signs, contractions and special tokens, with and without the faster merge."""
     pick = random.Random(3)
-    bits = [" ", "  ", "\n", "\n\n", "\t", " \n", "a", "é", "ab", "'s", "'", "1", "23", ".", ",", "<|endoftext|>", "<|", "ß", "漢", "​"]
-    bits += [" ", " ", "İ", "_", "-", "'ll", " 't", "\x1c", "\x85", "😀", "é", "Straße", "ﬁ", "ñandú", "ẞ", "Ɐ"]
+    bits = [" ", "  ", "\n", "\n\n", "\t", " \n", "a", "é", "ab", "'s", "'", "1", "23", ".", ",", "<|endoftext|>", "<|", "ß", "漢", "\u200b"]
+    bits += ["\xa0", "\u3000", "İ", "_", "-", "'ll", " 't", "\x1c", "\x85", "😀", "e\u0301", "Straße", "ﬁ", "ñandú", "ẞ", "Ɐ"]
     fast, slow = packing.Encoder(PATH), packing.Encoder(PATH)
     assert fast.merged is not None
     slow.merged = None
@@ -110,15 +110,29 @@ def test_encoder_equals_library(library):
         assert fast.ids(text) == ids and slow.ids(text) == ids, repr(text)
 
 
-def test_forgetful_encoder(library, monkeypatch):
-    monkeypatch.setattr(packing, "WORDS", 20)
+def test_every_latin_character_beside_every_other(library):
+    """The faster merge and the library split words alike on all of Latin-1."""
     codes = packing.Encoder(PATH)
-    pick = random.Random(5)
-    for _ in range(200):
-        text = " ".join("".join(pick.choices("abcdeé", k=pick.randint(1, 60))) for _ in range(20))
+    for a in range(256):
+        text = "".join(f"{chr(a)}{chr(b)}{chr(a)} {chr(b)}x" for b in range(256))
+        assert codes.simple(text)
+        assert codes.ids(text) == coded(library.encode(text, add_special_tokens=False).ids), a
+
+
+def test_random_words(library):
+    codes, pick = packing.Encoder(PATH), random.Random(5)
+    for _ in range(300):
+        text = " ".join("".join(pick.choices("abcdeéinotr", k=pick.randint(1, 60))) for _ in range(20))
         assert codes.ids(text) == coded(library.encode(text, add_special_tokens=False).ids)
 
 
+def test_other_vocabularies_go_to_the_library(library):
+    other = public_tokenizers.path("word_bpe_49k.json")
+    codes = packing.Encoder(other)
+    assert codes.merged is None
+    assert codes.ids("Some Words") == coded(Tokenizer.from_file(other).encode("Some Words", add_special_tokens=False).ids)
+
+
 def test_a_long_text_without_spaces(library):
     text = "ab" * 100_000
     assert packing.Encoder(PATH).ids(text) == coded(library.encode(text, add_special_tokens=False).ids)
