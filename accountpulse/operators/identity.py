@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -185,6 +187,27 @@ def security_events_summary(events: DataFrame) -> DataFrame:
     )
 
 
+def _prefixed(df: DataFrame, prefix: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(c if c == "id" else f"{prefix}_{c}") for c in df.columns])
+
+
+def _routed(steps: DataFrame, details: Mapping[str, DataFrame], spread: Column) -> DataFrame:
+    """Steps with the one detail that each of them names, by one join with all details stacked."""
+    kinds = [
+        df.where(F.col("id").isNotNull()).withColumn(
+            "id", F.struct(F.lit(key).alias("kind"), F.col("id").cast("string").alias("id"))
+        )
+        for key, df in details.items()
+    ]
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), kinds)
+
+    def named(key: str) -> Column:
+        text = F.col(key).cast(details[key].schema["id"].dataType).cast("string")
+        return F.when(F.col(key).isNotNull(), F.struct(F.lit(key).alias("kind"), text.alias("id")))
+
+    return left_lookup(steps.withColumn("__detail", F.coalesce(*map(named, details))), stacked, "__detail", spread).drop("__detail")
+
+
 def steps_enriched(
     steps: DataFrame,
     sessions: DataFrame,
@@ -192,32 +215,43 @@ def steps_enriched(
     identities: DataFrame | None = None,
     liveness: DataFrame | None = None,
     facematch: DataFrame | None = None,
+    several: bool | None = None,
 ) -> DataFrame:
     """Steps with session, document check, identity, liveness and face match beside them.
 
-    Each lookup is a left join on a key that most steps do not have; see ``left_lookup``.
-    Looked-up columns are prefixed by their table.
+    A step belongs to one session and, by its stage, has one detail at most. So its rows are shuffled
+    twice: under the session's key, and under the key of the one detail they have, where all details
+    stand stacked by kind and id. Keys are often NULL; see ``left_lookup``. Steps that name several
+    details go through a join per detail instead. ``several`` tells whether there are such steps; if it
+    isn't given, three columns are read to find out. Looked-up columns are prefixed by their table.
     """
-
-    def prefixed(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(*[F.col(c).alias(c if c == "id" else f"{prefix}_{c}") for c in df.columns])
-
-    def spread():
-        return F.struct("biometricId", "stepName", "createdAt")
-
-    out = left_lookup(steps, prefixed(sessions, "session"), "biometricId", spread())
+    spread = F.struct("biometricId", "stepName", "createdAt")
+    details = {}
     if doc_checks is not None:
         # Identities meet the checks, which are far fewer than the steps.
-        checks = prefixed(doc_checks, "document_check")
+        details["documentCheckId"] = _prefixed(doc_checks, "document_check")
         if identities is not None:
             key = "document_check_documentIdentityId"
-            checks = left_lookup(checks, prefixed(identities, "identity"), key, F.col("id"))
-        out = left_lookup(out, checks, "documentCheckId", spread())
+            details["documentCheckId"] = left_lookup(
+                details["documentCheckId"], _prefixed(identities, "identity"), key, F.col("id")
+            )
     if liveness is not None:
-        out = left_lookup(out, prefixed(liveness, "liveness"), "livenessId", spread())
+        details["livenessId"] = _prefixed(liveness, "liveness")
     if facematch is not None:
-        out = left_lookup(out, prefixed(facematch, "facematch"), "facematchId", spread())
-    return out
+        details["facematchId"] = _prefixed(facematch, "facematch")
+    joined = left_lookup(steps, _prefixed(sessions, "session"), "biometricId", spread)
+    if not details:
+        return joined
+    columns = [*joined.columns, *[c for df in details.values() for c in df.columns if c != "id"]]
+    named = sum((F.col(key).isNotNull().cast("int") for key in details), F.lit(0))
+    if several is None:
+        several = len(details) > 1 and not steps.where(named > 1).isEmpty()
+    if not several:
+        return _routed(joined, details, spread).select(columns)
+    chained = joined.where(named > 1)
+    for key, df in details.items():
+        chained = left_lookup(chained, df, key, spread)
+    return _routed(joined.where(named <= 1), details, spread).select(columns).unionByName(chained.select(columns))
 
 
 def kyc_workflow_context(sessions: DataFrame, executions: DataFrame, execution_key: str = "executionId") -> DataFrame:

@@ -5,6 +5,8 @@ frame of few labels is one aggregation with a sum per label. With more labels, r
 company and week once, summed by name there, and the columns are taken from a map of the
 sums, so that neither aggregation buffers nor code grow with the labels. Both give the same
 columns, and their number has no limit.
+
+``checked`` is set for exports whose cells were counted while they were written.
 """
 
 from __future__ import annotations
@@ -67,10 +69,10 @@ def conditional_sums(value: str, conditions: Mapping[str, Column]) -> list[Colum
     return [F.coalesce(F.sum(F.when(c, F.col(value))), F.lit(0)).alias(name) for name, c in conditions.items()]
 
 
-def prepare_workflow(df: DataFrame) -> DataFrame:
+def prepare_workflow(df: DataFrame, checked: bool = False) -> DataFrame:
     """Executions per company and week, with the first name in name order (missing first)."""
     named = df if "companyName" in df.columns else df.withColumn("companyName", F.lit(None).cast("string"))
-    rows = with_company_key(typed_export(named, ["execution_count"], "workflow"))
+    rows = with_company_key(typed_export(named, ["execution_count"], "workflow", checked=checked))
     unnamed = F.max(F.col("companyName").isNull())
     return rows.groupBy(*KEYS).agg(
         F.when(unnamed, "Unknown").otherwise(F.min("companyName")).alias("companyName"),
@@ -78,15 +80,15 @@ def prepare_workflow(df: DataFrame) -> DataFrame:
     )
 
 
-def prepare_dau(df: DataFrame) -> DataFrame:
+def prepare_dau(df: DataFrame, checked: bool = False) -> DataFrame:
     metrics = ["dau_count", "unique_users_count"]
-    rows = with_company_key(typed_export(df, metrics, "dau"))
+    rows = with_company_key(typed_export(df, metrics, "dau", checked=checked))
     return rows.groupBy(*KEYS).agg(*[F.sum(m).alias(m) for m in metrics])
 
 
-def prepare_billing(df: DataFrame) -> DataFrame:
+def prepare_billing(df: DataFrame, checked: bool = False) -> DataFrame:
     """Billable events in one column per reported conversation type."""
-    rows = with_company_key(typed_export(df, ["billable_count"], "billing", ["conversationType"]))
+    rows = with_company_key(typed_export(df, ["billable_count"], "billing", ["conversationType"], checked))
     typed = rows.withColumn("conversationType", fold_conversation_type(F.col("conversationType")))
     conditions = {t: F.col("conversationType") == t for t in REPORTED_TYPES}
     return (
@@ -96,8 +98,8 @@ def prepare_billing(df: DataFrame) -> DataFrame:
     )
 
 
-def _labelled_licences(df: DataFrame) -> tuple[DataFrame, Column | None]:
-    rows = with_company_key(typed_export(df, ["connect_licenses"], "connect"))
+def _labelled_licences(df: DataFrame, checked: bool = False) -> tuple[DataFrame, Column | None]:
+    rows = with_company_key(typed_export(df, ["connect_licenses"], "connect", checked=checked))
     return rows, connect_plan_label(rows)
 
 
@@ -113,13 +115,13 @@ def connect_long(df: DataFrame) -> DataFrame:
     return sums.withColumn("connect_col", _plan_column(F.col("plan")))
 
 
-def prepare_connect(df: DataFrame) -> DataFrame:
+def prepare_connect(df: DataFrame, checked: bool = False) -> DataFrame:
     """Licences in one column per plan, their total, and the list of plans in use.
 
     Labels that fall on the same column name are summed. Without any label column there
     is only the total.
     """
-    rows, label = _labelled_licences(df)
+    rows, label = _labelled_licences(df, checked)
     if label is None:
         return rows.groupBy(*KEYS).agg(F.sum("connect_licenses").alias("connect_licenses"))
 
@@ -150,9 +152,9 @@ def prepare_connect(df: DataFrame) -> DataFrame:
     )
 
 
-def _kyc_rows(df: DataFrame) -> DataFrame:
+def _kyc_rows(df: DataFrame, checked: bool = False) -> DataFrame:
     """Rows with a clean stage and status and the names of their two columns."""
-    rows = with_company_key(typed_export(df, ["kyc_steps_count"], "kyc", ["stepName", "status"]))
+    rows = with_company_key(typed_export(df, ["kyc_steps_count"], "kyc", ["stepName", "status"], checked))
     tokens = rows.withColumns({c: clean_token(F.col(c)) for c in ("stepName", "status")})
     stage = F.concat(F.lit("kyc_"), slug(F.col("stepName"), "unknown"))
     return tokens.where(F.col("stepName").isNotNull() & F.col("status").isNotNull()).withColumns(
@@ -169,13 +171,13 @@ def kyc_long(df: DataFrame) -> DataFrame:
     return sums.agg(F.sum("kyc_steps_count").alias("kyc_steps_count"))
 
 
-def prepare_kyc(df: DataFrame) -> DataFrame:
+def prepare_kyc(df: DataFrame, checked: bool = False) -> DataFrame:
     """Steps by stage and status, by stage, and in total, from one grouped pass.
 
     The three totals per stage and the grand total exist even when the data has none. A status
     called "total" has no column beside its stage's total.
     """
-    rows = _kyc_rows(df)
+    rows = _kyc_rows(df, checked)
     labels = labels_of(rows, "status_column", "stage_column")
     stages = {stage for _, stage in labels} | {f"kyc_{s}_total" for s in KYC_STAGES}
     names = sorted(stages | {status for status, _ in labels})
@@ -195,10 +197,10 @@ def prepare_kyc(df: DataFrame) -> DataFrame:
     return grouped.select(*KEYS, *spread("columns", names), "kyc_total")
 
 
-def prepare_hil_gov(df: DataFrame) -> DataFrame:
+def prepare_hil_gov(df: DataFrame, checked: bool = False) -> DataFrame:
     """Government and human-review metrics; unreadable or absent numbers count as 0."""
     full = with_contract(df, HIL_GOV_METRICS)
-    rows = with_company_key(typed_export(to_numeric_fill0(full, HIL_GOV_METRICS), [], "hil_gov"))
+    rows = with_company_key(typed_export(to_numeric_fill0(full, HIL_GOV_METRICS), [], "hil_gov", checked=checked))
     return rows.groupBy(*KEYS).agg(*[F.sum(m).cast("bigint").alias(m) for m in HIL_GOV_METRICS])
 
 
@@ -221,9 +223,9 @@ def marketplace_long(installs: DataFrame, mapping: DataFrame) -> DataFrame:
     )
 
 
-def marketplace_wide(long: DataFrame) -> DataFrame:
+def marketplace_wide(long: DataFrame, checked: bool = False) -> DataFrame:
     """One column per app and their total. Apps with the same column name are summed."""
-    rows = with_company_key(typed_export(long, ["marketplace_install_count"], "marketplace", ["app_name"]))
+    rows = with_company_key(typed_export(long, ["marketplace_install_count"], "marketplace", ["app_name"], checked))
     column = F.concat(F.lit("marketplace_app_"), slug(F.col("app_name"), "unknown_app"))
     apps = grouped_labels(labels_of(rows.select("app_name").distinct().select(column.alias("name"), "app_name"), "name", "app_name"))
     names = list(apps)
@@ -237,6 +239,6 @@ def marketplace_wide(long: DataFrame) -> DataFrame:
     return grouped.select(*KEYS, *spread("columns", names), "marketplace_install_total")
 
 
-def prepare_signups(df: DataFrame) -> DataFrame:
-    rows = typed_export(df, SIGNUP_METRICS, "signups")
+def prepare_signups(df: DataFrame, checked: bool = False) -> DataFrame:
+    rows = typed_export(df, SIGNUP_METRICS, "signups", checked=checked)
     return rows.groupBy(WEEK).agg(*[F.sum(m).alias(m) for m in SIGNUP_METRICS])

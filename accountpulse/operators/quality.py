@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import DataFrame
@@ -11,6 +13,31 @@ from pyspark.sql import functions as F
 
 from ..errors import ValidationError
 from ..functions.weeks import WEEK
+from ..sources.staging import stage_observed
+from .clean import reject_cells, strict_cells
+
+
+@dataclass(frozen=True)
+class Profile:
+    """What the job that wrote an export saw of it."""
+
+    rows: int
+    first_week: date | None
+    last_week: date | None
+
+
+def stage_strict(df: DataFrame, metrics: Sequence[str], source: str) -> tuple[DataFrame, Profile]:
+    """Write an export with its week and metrics typed, and return it with its profile.
+
+    Rows, first and last week and unreadable cells are counted by the write itself; the table isn't
+    read again. Any unreadable cell rejects the export.
+    """
+    cells = strict_cells(df, metrics)
+    bad = {f"bad_{i}": F.count_if(F.col(c).isNull()) for i, c in enumerate(cells)}
+    measures = {"rows": F.count(F.lit(1)), "first_week": F.min(WEEK), "last_week": F.max(WEEK), **bad}
+    written, seen = stage_observed(df.withColumns(cells), source, measures)
+    reject_cells({c: seen[f"bad_{i}"] for i, c in enumerate(cells)}, source)
+    return written, Profile(seen["rows"], seen["first_week"], seen["last_week"])
 
 
 def grain_duplicates(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -47,7 +74,17 @@ def window_mismatch(windows: DataFrame) -> DataFrame:
 
 def check_windows(windows: DataFrame, strict: bool = False) -> bool:
     """True when all sources agree. A mismatch warns, or fails when strict."""
-    if not window_mismatch(windows).first()["mismatch"]:
+    return _windows_agree(not window_mismatch(windows).first()["mismatch"], strict)
+
+
+def check_profiles(profiles: Mapping[str, Profile], strict: bool = False) -> bool:
+    """As ``check_windows``, from the profiles of exports that have rows."""
+    weeks = [(p.first_week, p.last_week) for p in profiles.values() if p.first_week is not None]
+    return _windows_agree(all(len(set(bounds)) < 2 for bounds in zip(*weeks)), strict)
+
+
+def _windows_agree(agree: bool, strict: bool) -> bool:
+    if agree:
         return True
     message = "Sources do not share the same first and last week."
     if strict:

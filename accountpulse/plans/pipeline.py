@@ -27,11 +27,11 @@ from ..operators.prepare import (
     prepare_signups,
     prepare_workflow,
 )
-from ..operators.quality import check_windows, date_windows, grain_duplicates
+from ..operators.quality import Profile, check_profiles, check_windows, date_windows, grain_duplicates, stage_strict
 from ..sources.contracts import EXPORTS, require_columns
 from ..sources.readers import read_export, read_optional, read_with_fallback
 from ..sources.staging import stage
-from ..sources.writers import write_long, write_merged
+from ..sources.writers import read_by_week, write_long, write_merged
 from .jobs import Settings, job_group, select_jobs
 
 log = logging.getLogger(__name__)
@@ -49,30 +49,49 @@ PREPARE = {
 OPTIONAL_EXPORTS = ("kyc", "hil_gov", "marketplace")
 
 
-def stage_exports(jobs: Mapping[str, DataFrame], concurrent: int = 4) -> dict[str, DataFrame]:
-    """Run the weekly queries and hand over their written results.
+class Exports(dict[str, DataFrame]):
+    """Exports by name; ``profiles`` has those that were checked while they were written."""
+
+    def __init__(self, frames: Mapping[str, DataFrame] = {}, profiles: Mapping[str, Profile] = {}) -> None:
+        super().__init__(frames)
+        self.profiles = dict(profiles)
+
+
+def stage_exports(jobs: Mapping[str, DataFrame], concurrent: int = 4) -> Exports:
+    """Run the weekly queries and hand over their written results, checked by the jobs that write them.
 
     The queries are independent Spark jobs; submitting a few at a time lets one fill the
     executors while another finishes its last tasks.
     """
+
+    def one(name: str) -> tuple[DataFrame, Profile]:
+        # An export that lacks columns is found out when it is prepared.
+        return stage_strict(jobs[name], [m for m in EXPORTS[name].strict if m in jobs[name].columns], name)
+
     with ThreadPoolExecutor(max_workers=concurrent) as pool:
-        staged = pool.map(lambda item: (item[0], stage(item[1], item[0])), jobs.items())
-        return dict(staged)
+        staged = dict(zip(jobs, pool.map(one, jobs)))
+    return Exports({n: df for n, (df, _) in staged.items()}, {n: profile for n, (_, profile) in staged.items()})
 
 
 def stage_with_fallback(
     spark: SparkSession, jobs: Mapping[str, DataFrame], folder: str, allow_fallback: bool = False
-) -> dict[str, DataFrame]:
+) -> Exports:
     """As ``stage_exports``, but a failing licence query may use the export in ``folder``."""
     staged = stage_exports({n: q for n, q in jobs.items() if n != "connect"})
     if "connect" in jobs:
-        contract = EXPORTS["connect"]
+        contract, profiles = EXPORTS["connect"], staged.profiles
+
+        def keep(df: DataFrame, name: str) -> DataFrame:
+            written, profiles[name] = stage_strict(df, contract.strict, name)
+            return written
+
         staged["connect"] = read_with_fallback(
             lambda: jobs["connect"],
             lambda: read_export(spark, folder, contract),
             contract.required,
             "connect",
             allow_fallback,
+            keep,
         )
     return staged
 
@@ -98,13 +117,17 @@ def read_exports(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def prepare_exports(exports: Mapping[str, DataFrame], concurrent: int = 4) -> dict[str, DataFrame]:
     """Prepared frames in merge order; each export is checked against its contract.
 
-    The checks and the look-up of plan, app and status names are small jobs of their own,
-    so they too are submitted a few at a time.
+    Exports that were checked while they were written aren't read for that. Other checks and the
+    look-up of plan, app and status names are small jobs of their own, so they too are submitted a
+    few at a time.
     """
-    names = [n for n in PREPARE if n in exports]
+    names, profiles = [n for n in PREPARE if n in exports], getattr(exports, "profiles", {})
+
+    def one(name: str) -> DataFrame:
+        return PREPARE[name](require_columns(exports[name], EXPORTS[name].required, name), checked=name in profiles)
+
     with ThreadPoolExecutor(max_workers=concurrent) as pool:
-        prepared = pool.map(lambda n: PREPARE[n](require_columns(exports[n], EXPORTS[n].required, n)), names)
-        return dict(zip(names, prepared))
+        return dict(zip(names, pool.map(one, names)))
 
 
 def merge_prepared(prepared: Mapping[str, DataFrame], settings: Settings) -> DataFrame:
@@ -136,7 +159,7 @@ def check_exports(exports: Mapping[str, DataFrame]) -> None:
 
 def run_group(
     jobs: Mapping[str, DataFrame], group: str, folder: str, allow_fallback: bool = False, earlier: str | None = None
-) -> dict[str, DataFrame]:
+) -> Exports:
     """Run the queries of a group, check them, and save their exports in ``folder``.
 
     With ``allow_fallback`` a failing licence query takes the export saved in ``earlier``, by default
@@ -167,11 +190,14 @@ def run_weekly(
 
     ``earlier`` is a folder of saved exports that ``allow_fallback`` may use for the licences. With raw
     ``installs`` and their ``mapping`` the log tells how many installations have no company. Returns
-    the merged table as staged, before formatting for ``path``.
+    the merged table by week as written to ``path``; for CSV as staged, before formatting.
     """
     exports = stage_with_fallback(_session(jobs), jobs, earlier or path, allow_fallback)
     check_exports(exports)
-    check_windows(date_windows(exports), settings.strict_windows)
+    if set(exports) <= set(exports.profiles):
+        check_profiles(exports.profiles, settings.strict_windows)
+    else:
+        check_windows(date_windows(exports), settings.strict_windows)
     if installs is not None and mapping is not None:
         counts = match_counts(drop_invalid_installs(installs), mapping).first()
         log.info("installations with a company: %d, without: %d", counts["matched"], counts["unmatched"])
@@ -179,4 +205,4 @@ def run_weekly(
     write_merged(merged, path, fmt)
     if "marketplace" in exports:
         write_long(exports["marketplace"], f"{path.rstrip('/')}_marketplace_long", fmt)
-    return merged
+    return read_by_week(merged.sparkSession, path, merged.schema) if fmt == "parquet" else merged

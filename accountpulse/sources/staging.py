@@ -8,8 +8,9 @@ lost executor costs no recomputation.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import shared_folder
@@ -23,6 +24,13 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_observed(df: DataFrame, name: str, measures: Mapping[str, Column]) -> tuple[DataFrame, dict]:
+    """As ``stage``, with aggregates of the written rows taken by the job that writes them."""
+    seen = Observation(name)
+    written = stage(df.observe(seen, *[measure.alias(m) for m, measure in measures.items()]), name)
+    return written, seen.get
+
+
 def fingerprint(spark: SparkSession, paths: list[str]) -> int:
     """Number that changes when a file under ``paths`` is added, removed or rewritten.
 

@@ -393,6 +393,7 @@ ORACLE = {
         EXPORTS,
     ),
     "merged_csv_roundtrip": on_merged("SELECT * FROM merged"),
+    "merged_parquet_by_week": on_merged("SELECT * FROM merged"),
     "marketplace_long_roundtrip": sql("SELECT * FROM x_marketplace", EXPORTS),
     "session_billing_weekly": sql(billing_sql(START)),
     "external_companies": sql(f"SELECT id, name, plan FROM {OUTSIDE} o"),

@@ -21,7 +21,7 @@ from accountpulse.sources.readers import read_optional, read_source, read_with_f
 from accountpulse.sources.standins import standin, standins
 from accountpulse.sources.writers import write_long, write_merged
 
-from .workspace import SETTINGS, export, exports, merged
+from .workspace import SETTINGS, export, exports, merged, merged_by_week
 
 START = SETTINGS.start
 EVENTS_START = date(2024, 1, 3)
@@ -79,6 +79,14 @@ def merged_csv_roundtrip(spark, folder):
     return loaded.withColumn("connect_plan_list", F.coalesce("connect_plan_list", F.lit("")))
 
 
+@query
+def merged_parquet_by_week(spark, folder):
+    """Merged table written as Parquet with a folder per week, and read back."""
+    path = _temporary(spark, "merged")
+    write_merged(merged(spark, folder), path, "parquet")
+    return period.load_merged(read_source(spark, "/", ["/absent/merged", path]))
+
+
 @query
 def marketplace_long_roundtrip(spark, folder):
     path = _temporary(spark, "marketplace_weekly") + ".csv"
@@ -406,13 +414,13 @@ def available_periods(spark, folder):
 
 @query
 def overview_row(spark, folder):
-    table = merged(spark, folder)
+    table = merged_by_week(spark, folder)
     return views.overview_row(period.weekly_totals(table), table, WEEK, SOME_WEEK)
 
 
 @query
 def overview_latest(spark, folder):
-    table = merged(spark, folder)
+    table = merged_by_week(spark, folder)
     return views.overview_row(period.weekly_totals(table), table, WEEK)
 
 
@@ -438,7 +446,7 @@ def series_label_forms(spark, folder):
 
 @query
 def top_companies(spark, folder):
-    return views.top_companies(merged(spark, folder), WEEK, SOME_WEEK)
+    return views.top_companies(merged_by_week(spark, folder), WEEK, SOME_WEEK)
 
 
 @query
@@ -497,28 +505,28 @@ def hil_breakdown(spark, folder):
 
 @query
 def distribution_histogram(spark, folder):
-    return views.distribution_histogram(merged(spark, folder), WEEK, "execution_count", SOME_WEEK, threshold=300)
+    return views.distribution_histogram(merged_by_week(spark, folder), WEEK, "execution_count", SOME_WEEK, threshold=300)
 
 
 @query
 def distribution_box(spark, folder):
-    return views.distribution_box(merged(spark, folder), WEEK, "execution_count", SOME_WEEK)
+    return views.distribution_box(merged_by_week(spark, folder), WEEK, "execution_count", SOME_WEEK)
 
 
 @query
 def distribution_stats(spark, folder):
-    stats = views.distribution_stats(merged(spark, folder), WEEK, "execution_count", SOME_WEEK)
+    stats = views.distribution_stats(merged_by_week(spark, folder), WEEK, "execution_count", SOME_WEEK)
     return stats.withColumns({c: F.round(c, 6) for c in ("mean", "median", "std")})
 
 
 @query
 def power_users(spark, folder):
-    return views.power_users(merged(spark, folder), WEEK, "execution_count", SOME_WEEK, threshold=200)
+    return views.power_users(merged_by_week(spark, folder), WEEK, "execution_count", SOME_WEEK, threshold=200)
 
 
 @query
 def normal_top(spark, folder):
-    return views.normal_top(merged(spark, folder), WEEK, "execution_count", SOME_WEEK, threshold=200)
+    return views.normal_top(merged_by_week(spark, folder), WEEK, "execution_count", SOME_WEEK, threshold=200)
 
 
 METRIC = "execution_count"

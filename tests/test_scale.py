@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from accountpulse.operators import merge, weekly
+from accountpulse.operators import identity, merge, weekly
 from accountpulse.operators.joins import left_lookup
 from checks.registry import QUERIES
 
@@ -162,3 +162,76 @@ def test_changes_of_one_period_need_no_window(spark, name):
 @pytest.mark.parametrize("name", ["active_items", "active_plans", "kyc_status_detail", "hil_breakdown"])
 def test_selected_rows_are_not_found_by_sorting(spark, name):
     assert "SortAggregate" not in plan(QUERIES[name](spark, SMALL))
+
+
+def enrichment(spark, hot=None, several=False):
+    """Steps of four stages with the details that they name; ``hot`` is a check that a third of them share."""
+    n = F.col("id")
+    check = F.when(n % 4 == 0, n % 700) if hot is None else F.when(n % 3 == 0, F.lit(hot)).when(n % 4 == 0, n % 700)
+    taken = F.lit(False) if several or hot is None else n % 3 == 0
+    steps = spark.range(0, 30000, 1, 6).select(
+        F.when(n % 17 != 0, n % 900).alias("biometricId"),
+        F.concat(F.lit("stage"), n % 4).alias("stepName"),
+        F.col("id").alias("createdAt"),
+        check.alias("documentCheckId"),
+        F.when((n % 4 == 1) & ~taken, n % 500).alias("livenessId"),
+        F.when((n % 4 == 2) & ~taken, n % 300).alias("facematchId"),
+    )
+    sessions = spark.range(800).select("id", (F.col("id") * 3).alias("companyId"))
+    checks = spark.range(600).select("id", (F.col("id") % 250).alias("documentIdentityId"), (F.col("id") % 2).alias("entityResponse"))
+    identities = spark.range(200).select("id", F.concat(F.lit("land "), "id").alias("country"))
+    liveness = spark.range(400).union(spark.range(5)).select("id", (F.col("id") + 7).alias("otpCode"))
+    faces = spark.range(250).select("id", (F.col("id") % 101).alias("similarity"))
+    return steps, sessions, checks, identities, liveness, faces
+
+
+def chained(steps, sessions, checks, identities, liveness, faces):
+    """A plain left join per table."""
+
+    def named(df, prefix, key):
+        return df.select(F.col("id").alias(key), *[F.col(c).alias(f"{prefix}_{c}") for c in df.columns if c != "id"])
+
+    checks = named(checks, "document_check", "documentCheckId")
+    checks = checks.join(named(identities, "identity", "document_check_documentIdentityId"), "document_check_documentIdentityId", "left")
+    out = steps.join(named(sessions, "session", "biometricId"), "biometricId", "left")
+    out = out.join(checks, "documentCheckId", "left").join(named(liveness, "liveness", "livenessId"), "livenessId", "left")
+    return out.join(named(faces, "facematch", "facematchId"), "facematchId", "left")
+
+
+@pytest.mark.parametrize("several", [False, True])
+def test_steps_travel_under_the_one_detail_they_have(spark, several):
+    tables = enrichment(spark, hot=5, several=several)
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        got = identity.steps_enriched(*tables)
+        text = plan(got)
+    if not several:
+        # Steps twice; sessions, checks, identities and all details stacked once each.
+        assert text.count("Exchange hashpartitioning") == 6 and text.count("SortMergeJoin") == 3
+    want = chained(*tables).select(got.columns)
+    assert Counter(map(str, got.collect())) == Counter(map(str, want.collect()))
+
+
+def test_hot_check_is_split_and_complete(spark):
+    tables = enrichment(spark, hot=5)
+    with conf(
+        spark,
+        spark__sql__shuffle__partitions="40",
+        spark__sql__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__autoBroadcastJoinThreshold="-1",
+        spark__sql__adaptive__skewJoin__skewedPartitionThresholdInBytes="20k",
+        spark__sql__adaptive__skewJoin__skewedPartitionFactor="1.2",
+        spark__sql__adaptive__advisoryPartitionSizeInBytes="10k",
+    ):
+        got = identity.steps_enriched(*tables, several=False)
+        assert got.where("document_check_entityResponse IS NOT NULL").count() > 10000
+        rows = got.agg(F.count("*"), F.count("identity_country")).first()
+        got.collect()
+        assert "SortMergeJoin(skew=true)" in plan(got)
+    assert rows[0] == chained(*tables).count()
+
+
+def test_steps_without_some_details(spark):
+    steps, sessions, checks, identities, liveness, faces = enrichment(spark)
+    assert identity.steps_enriched(steps, sessions).columns == [*steps.columns, "session_companyId"]
+    got = identity.steps_enriched(steps, sessions, liveness=liveness)
+    assert got.where("liveness_otpCode IS NOT NULL").count() == chained(*enrichment(spark)).where("liveness_otpCode IS NOT NULL").count()
