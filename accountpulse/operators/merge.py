@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from datetime import date
 from functools import reduce
 
@@ -46,11 +46,15 @@ def company_metrics(columns: Iterable[str]) -> list[str]:
 def merge_company_week(frames: Iterable[DataFrame]) -> DataFrame:
     """Full outer merge of prepared frames on company and week.
 
-    Each frame must have one row per key; a second one fails when the result is computed. So stacking them and taking the single value of each
-    column per key gives the rows of a chain of full outer joins. A chain would shuffle
-    and sort the growing result once per join, because a full outer join loses the
-    partitioning of its inputs. Here every frame is hashed on the key by its own
+    Each frame must have one row per key; a second one fails when the result is computed. So stacking
+    them and taking the single value of each column per key gives the rows of a chain of full outer
+    joins. A chain would shuffle and sort the growing result once per join, because a full outer join
+    loses the partitioning of its inputs. Here every frame is hashed on the key by its own
     aggregation and the union keeps that, so the merge adds no shuffle.
+
+    Only numbers are stacked: a text in the grouping would make Spark sort all rows with all their
+    columns. Texts are looked up in their own frame afterwards, by a hash join on the partitioning
+    that both sides have.
     """
     frames = list(frames)
     seen: set[str] = set()
@@ -59,8 +63,13 @@ def merge_company_week(frames: Iterable[DataFrame]) -> DataFrame:
         if shared:
             raise ValidationError(f"[merge] Columns in more than one frame: {', '.join(shared)}")
         seen |= set(frame.columns) - set(KEYS)
-    marked = [f.where(_has_key()).withColumn(f"__rows_{i}", F.lit(1)) for i, f in enumerate(frames)]
-    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), marked)
+    kept = [f.where(_has_key()) for f in frames]
+    texts = [[c for c, kind in f.dtypes if kind == "string" and c not in KEYS] for f in frames]
+    marked = [_marked(frame, names, f"__rows_{i}") for i, (frame, names) in enumerate(zip(kept, texts))]
+    # The first of the stacked frames gives the union its columns, which keeps Spark from seeing that its
+    # shuffle is used twice; so one without texts goes first.
+    first_plain = sorted(range(len(frames)), key=lambda i: bool(texts[i]))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [marked[i] for i in first_plain])
     marks = [f"__rows_{i}" for i in range(len(frames))]
     values = [c for c in stacked.columns if c not in (*KEYS, *marks)]
     merged = stacked.groupBy(*KEYS).agg(
@@ -69,7 +78,24 @@ def merge_company_week(frames: Iterable[DataFrame]) -> DataFrame:
     # A second row of a frame for one key would be lost in the maximum, so it ends the job.
     repeated = F.concat(F.lit("merge: a frame has several rows for company "), "companyId", F.lit(", week "), WEEK)
     week = F.when(F.col("__rows") > 1, F.raise_error(repeated).cast("date")).otherwise(F.col(WEEK))
-    return merged.withColumn(WEEK, week).drop("__rows")
+    for frame, names in zip(kept, texts):
+        if names:
+            used = reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in frame.columns if c not in KEYS))
+            merged = merged.join(frame.where(used).select(*KEYS, *names).hint("shuffle_hash"), KEYS, "left")
+    order = [c for frame in frames for c in frame.columns if c not in KEYS]
+    return merged.withColumn(WEEK, week).select(*KEYS, *order)
+
+
+def _marked(frame: DataFrame, texts: Sequence[str], mark: str) -> DataFrame:
+    """Keys and numbers of a frame, and a 1 on every row.
+
+    The 1 is written so that it reads the texts, and stands where they stood. Both uses of the frame
+    thus need the same aggregates in the same order, and Spark shuffles it once for both.
+    """
+    if not texts:
+        return frame.withColumn(mark, F.lit(1))
+    one = F.when(F.length(F.concat_ws("", *texts)) >= 0, 1).otherwise(0).alias(mark)
+    return frame.select([one if c == texts[0] else F.col(c) for c in frame.columns if c not in texts[1:]])
 
 
 def _has_key():

@@ -59,9 +59,10 @@ def columns_of(sums: DataFrame, *more: Column) -> DataFrame:
     return sums.groupBy(*KEYS).agg(F.map_from_entries(cells).alias("columns"), *more)
 
 
-def spread(sums: str, names: Iterable[str]) -> list[Column]:
-    """One 0-filled column per name, from a map column."""
-    return [F.coalesce(F.try_element_at(sums, F.lit(name)), F.lit(0)).alias(name) for name in names]
+def spread(sums: str, names: Iterable[str] | Mapping[str, str]) -> list[Column]:
+    """One 0-filled column per name, from a map column; a mapping names each column's entry."""
+    entries = names if isinstance(names, Mapping) else {name: name for name in names}
+    return [F.coalesce(F.try_element_at(sums, F.lit(entry)), F.lit(0)).alias(name) for name, entry in entries.items()]
 
 
 def conditional_sums(value: str, conditions: Mapping[str, Column]) -> list[Column]:
@@ -73,9 +74,10 @@ def prepare_workflow(df: DataFrame, checked: bool = False) -> DataFrame:
     """Executions per company and week, with the first name in name order (missing first)."""
     named = df if "companyName" in df.columns else df.withColumn("companyName", F.lit(None).cast("string"))
     rows = with_company_key(typed_export(named, ["execution_count"], "workflow", checked=checked))
+    # Few names share a company and week; a set of them is hashed, where a least text would sort all rows.
     unnamed = F.max(F.col("companyName").isNull())
     return rows.groupBy(*KEYS).agg(
-        F.when(unnamed, "Unknown").otherwise(F.min("companyName")).alias("companyName"),
+        F.when(unnamed, "Unknown").otherwise(F.array_min(F.collect_set("companyName"))).alias("companyName"),
         F.sum("execution_count").alias("execution_count"),
     )
 
@@ -132,13 +134,12 @@ def prepare_connect(df: DataFrame, checked: bool = False) -> DataFrame:
     if few(plans):
         held = {plan: F.col(f"__{i}") for i, plan in enumerate(plans)}
         sums = named.groupBy(*KEYS).agg(
-            *conditional_sums("connect_licenses", {f"__{i}": F.col("plan") == x for i, x in enumerate(plans)}),
-            F.sum("connect_licenses").alias("connect_licenses"),
+            *conditional_sums("connect_licenses", {f"__{i}": F.col("plan") == x for i, x in enumerate(plans)})
         )
         return sums.select(
             *KEYS,
             *[reduce(add, (held[x] for x in same)).alias(name) for name, same in plans_by_column.items()],
-            "connect_licenses",
+            reduce(add, held.values(), F.lit(0).cast(sums.schema["__0"].dataType if plans else "bigint")).alias("connect_licenses"),
             F.concat_ws(", ", *[F.when(held[x] > 0, x) for x in plans]).alias("connect_plan_list"),
         )
     per_plan = by_key(named).groupBy(*KEYS, "plan").agg(F.sum("connect_licenses").alias("value"))
@@ -166,35 +167,48 @@ def _kyc_rows(df: DataFrame, checked: bool = False) -> DataFrame:
 
 
 def kyc_long(df: DataFrame) -> DataFrame:
-    """Steps per company, week, stage and status, with the column name of the two."""
+    """Steps per company, week, stage and status, with the column name of the two as it is joined."""
     sums = _kyc_rows(df).groupBy(*KEYS, "stepName", "status", F.col("status_column").alias("kyc_col"))
     return sums.agg(F.sum("kyc_steps_count").alias("kyc_steps_count"))
 
 
+def kyc_columns(labels: Iterable[tuple[str, str]]) -> dict[str, tuple[str, str]]:
+    """Wide columns in name order, each with the kind (``stage`` or ``status``) and name of its cells.
+
+    ``labels`` are pairs of a status column's and a stage column's joined name. A stage's total keeps
+    its name. A status column that would have the name of some stage's total is called the same with
+    ``_status`` behind it. Pairs of stage and status with the same joined name share a column.
+    """
+    statuses, stages = ({names[i] for names in labels} for i in (0, 1))
+    stages |= {f"kyc_{s}_total" for s in KYC_STAGES}
+    columns = {name: ("stage", name) for name in stages}
+    for name in sorted(statuses):
+        free = name
+        while free in columns or free != name and free in statuses:
+            free += "_status"
+        columns[free] = ("status", name)
+    return dict(sorted(columns.items()))
+
+
 def prepare_kyc(df: DataFrame, checked: bool = False) -> DataFrame:
     """Steps by stage and status, by stage, and in total, from one grouped pass.
 
-    The three totals per stage and the grand total exist even when the data has none. A status
-    called "total" has no column beside its stage's total.
+    The three totals per stage and the grand total exist even when the data has none. ``kyc_columns``
+    tells what happens to names that meet; every step is counted in one status column and one total.
     """
     rows = _kyc_rows(df, checked)
-    labels = labels_of(rows, "status_column", "stage_column")
-    stages = {stage for _, stage in labels} | {f"kyc_{s}_total" for s in KYC_STAGES}
-    names = sorted(stages | {status for status, _ in labels})
-    if few(names):
-        conditions = {n: F.col("stage_column" if n in stages else "status_column") == n for n in names}
+    columns = kyc_columns(set(labels_of(rows, "status_column", "stage_column")))
+    if few(columns):
+        conditions = {name: F.col(f"{kind}_column") == cell for name, (kind, cell) in columns.items()}
         total = F.sum("kyc_steps_count").alias("kyc_total")
         return rows.groupBy(*KEYS).agg(*conditional_sums("kyc_steps_count", conditions), total)
-    status, stage = F.col("status_column"), F.col("stage_column")
-    both = F.array(
-        F.struct(F.nullif(status, stage).alias("name"), F.lit(False).alias("total")),
-        F.struct(stage.alias("name"), F.lit(True).alias("total")),
-    )
+    both = F.array(*[F.concat(F.lit(f"{kind}:"), f"{kind}_column") for kind in ("stage", "status")])
     cells = by_key(rows.select(*KEYS, "kyc_steps_count", "status_column", "stage_column"))
-    cells = cells.select(*KEYS, "kyc_steps_count", F.inline(both)).where(F.col("name").isNotNull())
-    sums = cells.groupBy(*KEYS, "name", "total").agg(F.sum("kyc_steps_count").alias("value"))
-    grouped = columns_of(sums, F.sum(F.when(F.col("total"), F.col("value"))).alias("kyc_total"))
-    return grouped.select(*KEYS, *spread("columns", names), "kyc_total")
+    cells = cells.select(*KEYS, "kyc_steps_count", F.explode(both).alias("name"))
+    sums = cells.groupBy(*KEYS, "name").agg(F.sum("kyc_steps_count").alias("value"))
+    in_stage = F.startswith(F.col("name"), F.lit("stage:"))
+    grouped = columns_of(sums, F.sum(F.when(in_stage, F.col("value"))).alias("kyc_total"))
+    return grouped.select(*KEYS, *spread("columns", {n: ":".join(cell) for n, cell in columns.items()}), "kyc_total")
 
 
 def prepare_hil_gov(df: DataFrame, checked: bool = False) -> DataFrame:

@@ -446,6 +446,18 @@ ORACLE = {
     ),
     "connect_total_only": on_merged("SELECT companyId, week_end_sunday, connect_licenses FROM p_connect"),
     "kyc_wide": on_merged("SELECT * FROM p_kyc"),
+    "kyc_clashing_names": sql(
+        f"""SELECT companyId, week_end_sunday, {total("NOT ab", "kyc_steps_count")} AS kyc_a_total,
+            {total("ab", "kyc_steps_count")} AS kyc_a_b_total, {total("NOT ab AND s = 'total'", "kyc_steps_count")} AS kyc_a_total_status,
+            {total("NOT ab AND s = 'b total' OR ab AND s = 'total'", "kyc_steps_count")} AS kyc_a_b_total_status,
+            {total("NOT ab AND s = 'x'", "kyc_steps_count")} AS kyc_a_x, {total("ab AND s = 'x'", "kyc_steps_count")} AS kyc_a_b_x,
+            {total("ab AND s = 'b total'", "kyc_steps_count")} AS kyc_a_b_b_total, CAST(0 AS BIGINT) AS kyc_document_check_total,
+            CAST(0 AS BIGINT) AS kyc_liveness_total, CAST(0 AS BIGINT) AS kyc_facematch_total,
+            {big('SUM(kyc_steps_count)')} AS kyc_total FROM (SELECT {KEY}, stepName = 'liveness' AS ab,
+                CASE status WHEN 'Approved' THEN 'b total' WHEN 'Fraud' THEN 'total' ELSE 'x' END AS s, kyc_steps_count FROM x_kyc) c
+            GROUP BY companyId, week_end_sunday""",
+        EXPORTS,
+    ),
     "hil_gov_prepared": on_merged("SELECT * FROM p_hil"),
     "marketplace_long": sql("SELECT * FROM x_marketplace", EXPORTS),
     "marketplace_wide": on_merged("SELECT * FROM p_marketplace"),

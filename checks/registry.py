@@ -292,6 +292,15 @@ def kyc_wide(spark, folder):
     return prepare.prepare_kyc(export(spark, folder, "kyc"))
 
 
+@query
+def kyc_clashing_names(spark, folder):
+    """Stages and statuses whose joined names meet each other and the stages' totals."""
+    steps = export(spark, folder, "kyc")
+    stage = F.when(F.col("stepName") == "liveness", "a b").otherwise("a")
+    status = F.when(F.col("status") == "Approved", "b total").when(F.col("status") == "Fraud", "total").otherwise("x")
+    return prepare.prepare_kyc(steps.withColumns({"stepName": stage, "status": status}))
+
+
 @query
 def hil_gov_prepared(spark, folder):
     return prepare.prepare_hil_gov(export(spark, folder, "hil_gov"))

@@ -166,6 +166,36 @@ def test_kyc_rollups(frame):
     assert got["2"]["kyc_total"] == got["2"]["kyc_selfie_total"] == 3
 
 
+@pytest.mark.parametrize("limit", [200, 0])
+def test_names_that_meet(frame, monkeypatch, limit):
+    """Every step is in one status column and one total, on both sides of the number of labels."""
+    monkeypatch.setattr(prepare, "FEW_LABELS", limit)
+    df = frame(
+        KYC,
+        [
+            ("1", W1, "a", "b_total", 3),
+            ("1", W1, "a_b", "x", 5),
+            ("1", W1, "a", "total", 7),
+            ("1", W1, "a_b", "total", 11),
+            ("1", W1, "a", "b total status", 13),
+            ("1", W1, "a b", "c", 17),
+            ("1", W1, "a", "b_c", 19),
+        ],
+    )
+    (row,) = prepare.prepare_kyc(df).collect()
+    got = {k: v for k, v in row.asDict().items() if k.startswith("kyc_") and v}
+    assert got == {
+        "kyc_a_total": 42,
+        "kyc_a_b_total": 33,
+        "kyc_a_b_x": 5,
+        "kyc_a_total_status": 7,
+        "kyc_a_b_total_status_status": 14,
+        "kyc_a_b_total_status": 13,
+        "kyc_a_b_c": 36,
+        "kyc_total": 75,
+    }
+
+
 def test_empty_kyc_is_typed(frame):
     empty = prepare.prepare_kyc(frame(KYC, []))
     assert empty.isEmpty()

@@ -46,6 +46,19 @@ def test_merge_shuffles_each_frame_once_and_no_more(spark):
     assert merge.merge_company_week(frames).count() == 150
 
 
+def test_merge_hashes_numbers_and_shuffles_texts_with_them(spark):
+    """No sorting, and frames with a text are shuffled once although they are used twice."""
+    table = QUERIES["merged_weekly"](spark, SMALL)
+    assert "SortAggregate" not in plan(table) and " Sort [" not in plan(table)
+    rows = table.collect()
+    final = plan(table)
+    final = final[: final.index("Initial Plan")]
+    # Seven frames and the sign-ups; the two frames with a text are read again, without a shuffle.
+    assert final.count("ReusedExchange") == 2
+    assert final.count("Exchange hashpartitioning") == 8 + 2, "a reused one is printed with what it reuses"
+    assert len(rows) == len({(r.companyId, r.week_end_sunday) for r in rows})
+
+
 def test_active_users_do_not_expand_rows(spark, frame):
     events = frame("companyId BIGINT, referenceId STRING, createdAt TIMESTAMP_NTZ", [(1, "u", MON)])
     text = plan(weekly.daily_active_users_weekly(events, "2025-01-01"))
