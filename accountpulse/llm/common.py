@@ -25,6 +25,23 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, UPPER, LOWER)
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str, sample: int
+) -> DataFrame:
+    """``label`` and ``text`` of at most ``sample`` labelled ids, those of the least hashes.
+
+    An id gives one row for each of its labels, however many documents share it: the one whose text
+    has the least hash. So the bound holds for rows as well, whatever share of them one id has.
+    """
+    known = labels.filter(F.col(label_column).isNotNull()).select(
+        F.col(id_column).alias("__id"), F.col(label_column).cast("int").alias("label")
+    )
+    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__id", "label").limit(sample)
+    named = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
+    rows = named.join(F.broadcast(chosen), "__id").groupBy("__id", "label")
+    return rows.agg(F.min_by("text", F.xxhash64("text")).alias("text")).select("label", "text")
+
+
 def fold(id_column: str, count: int) -> Column:
     """Fold of an id: CRC-32 of its decimal text, modulo ``count``; null for a null id."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % count

@@ -20,16 +20,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import column_lists, map_batches, map_groups
+from .common import broadcast_within, column_lists, map_batches, map_groups
 
 #: Places that trigrams are hashed to.
 PLACES = 4096
 #: Centroids of each language.
 CLUSTERS = 3
-#: Training texts of each language that are clustered, about at most.
+#: Different training texts of each language that are clustered, about at most.
 SAMPLE = 1_000
-#: Languages at most: their centroids go to every task.
-LANGUAGES = 1_000
 #: Share of a centroid's training texts that rejection lets go.
 REJECTED = 0.005
 #: Characters that are counted at once.
@@ -89,9 +87,9 @@ def weighted(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-12)
 
 
-def clustered(x: np.ndarray, count: int, steps: int = 12) -> tuple[np.ndarray, np.ndarray]:
-    """Unit centroids by spherical k-means, and each row's cosine to its own; starts far apart."""
-    picks = [int(np.argmax(x @ x.mean(0)))]
+def clustered(x: np.ndarray, weights: np.ndarray, count: int, steps: int = 12) -> tuple[np.ndarray, np.ndarray]:
+    """Unit centroids by spherical k-means of weighted rows, and each row's cosines; starts far apart."""
+    picks = [int(np.argmax(x @ (weights @ x)))]
     best = x @ x[picks[0]]
     while len(picks) < min(count, len(x)):
         picks.append(int(np.argmin(best)))
@@ -99,7 +97,7 @@ def clustered(x: np.ndarray, count: int, steps: int = 12) -> tuple[np.ndarray, n
     centroids = x[picks]
     for _ in range(steps):
         own = np.argmax(x @ centroids.T, axis=1)
-        sums = np.array([x[own == k].sum(0) if (own == k).any() else centroids[k] for k in range(len(centroids))])
+        sums = np.array([weights[own == k] @ x[own == k] if (own == k).any() else centroids[k] for k in range(len(centroids))])
         centroids = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
     return centroids, x @ centroids.T
 
@@ -159,31 +157,37 @@ def train(
 ) -> Centroids:
     """Centroids of the languages of ``docs``; rows without a language or a letter teach nothing.
 
-    Term weights come from all rows. Of each language about ``sample`` rows, those of the least
-    hashes of their texts, are clustered in one task per language.
+    Term weights come from all rows. Of each language about ``sample`` different texts, those of the
+    least hashes, are clustered in one task per language; a text weighs as often as it occurs. The
+    model takes about 100 kB per language, of which there is no limit.
     """
     known = docs.filter(F.col(lang_column).isNotNull()).select(
         F.col(text_column).alias("text"), F.col(lang_column).cast("string").alias("lang")
     )
     seen = _document_frequencies(known.select("text"), places)
     idf = np.log((1 + seen[0]) / (1 + seen[1:])) + 1
-    cut = F.least(F.lit(1.0), F.lit(float(sample)) / F.count(F.lit(1)))
-    shares = stage(known.groupBy("lang").agg(cut.alias("share")), "shares")
-    if shares.count() > LANGUAGES:
-        raise ValueError(f"More than {LANGUAGES} languages.")
-    place = F.pmod(F.xxhash64("text"), F.lit(1_000_003)) / 1_000_003.0
-    chosen = known.join(F.broadcast(shares), "lang").filter(place < F.col("share")).select("lang", "text")
+    # Texts are told apart by a hash, so that copies are counted before anything is chosen.
+    hashed = known.withColumn("hash", F.xxhash64("text"))
+    copies = stage(hashed.groupBy("lang", "hash").agg(F.count(F.lit(1)).alias("n")), "copies")
+    share = F.least(F.lit(1.0), F.lit(float(sample)) / F.count(F.lit(1)))
+    shares = copies.groupBy("lang").agg(share.alias("share"))
+    place = F.pmod(F.xxhash64("hash"), F.lit(1_000_003)) / 1_000_003.0
+    picked = copies.join(shares, "lang").filter(place < F.col("share")).select("lang", "hash", "n")
+    picked = broadcast_within(stage(picked, "picked"))
+    chosen = hashed.join(picked, ["lang", "hash"]).groupBy("lang", "hash", "n").agg(F.min("text").alias("text"))
 
     def cluster(group: pa.Table) -> pa.Table:
-        texts = sorted(t for t in group.column("text").to_pylist() if t)
-        vectors = []
+        pairs = sorted((t, n) for t, n in zip(group.column("text").to_pylist(), group.column("n").to_pylist()) if t)
+        texts, often = [t for t, _ in pairs], np.array([n for _, n in pairs], np.float32)
+        vectors, weights = [], []
         for part in _chunks(texts, places):
             counts, lettered = counted(texts[part], places)
             vectors.append(weighted(counts[lettered], idf).astype(np.float32))
+            weights.append(often[part][lettered])
         x = np.concatenate(vectors) if vectors else np.zeros((0, places), np.float32)
         if not len(x):
             return pa.table({"lang": pa.array([], pa.string()), "vector": pa.array([], pa.list_(pa.float64())), "limit": pa.array([], pa.float64())})
-        centroids, cosines = clustered(x, clusters)
+        centroids, cosines = clustered(x, np.concatenate(weights), clusters)
         own = np.argmax(cosines, axis=1)
         limits = [float(np.quantile(cosines[own == k, k], rejected)) if (own == k).any() else 1.0 for k in range(len(centroids))]
         return pa.table(

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import map_batches
+from .common import labelled_sample, map_batches
 
 #: Labelled rows that the classifier is fitted on, at most.
 SAMPLE = 20_000
@@ -118,13 +118,7 @@ def train(
     sample: int = SAMPLE,
 ) -> Classifier:
     """Classifier fitted on at most ``sample`` labelled rows, those of the least hashes of their ids."""
-    known = labels.filter(F.col(label_column).isNotNull()).select(
-        F.col(id_column).alias("__id"), F.col(label_column).cast("int").alias("label")
-    )
-    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__id", "label").limit(sample)
-    rows = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text")).join(
-        F.broadcast(chosen), "__id"
-    )
+    rows = labelled_sample(docs, labels, id_column, text_column, label_column, sample)
     parts = map_batches(rows, _feature_batches, "label int, x array<double>").collect()
     return fit([r["x"] for r in parts], [r["label"] for r in parts])
 

@@ -19,13 +19,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column_lists, map_batches
+from ..sources.staging import stage
+from .common import column_lists, labelled_sample, map_batches
 
 #: Labelled rows that the model is fitted on, at most about.
 SAMPLE = 20_000
-#: Terms with weights, at most; the rest weigh nothing.
-WORDS = 2_000
-#: Documents a term must occur in.
+#: Documents of the sample a term must occur in.
 LEAST_DOCS = 4
 #: Absolute standard score of a term's share among toxic documents, at least.
 LEAST_SCORE = 3.0
@@ -97,15 +96,6 @@ def _softplus(x: float) -> float:
     return x + math.log1p(math.exp(-x)) if x > 0 else math.log1p(math.exp(x))
 
 
-def _sampled(docs: DataFrame, labels: DataFrame, id_column: str, text_column: str, label_column: str, sample: int) -> DataFrame:
-    known = labels.filter(F.col(label_column).isNotNull()).select(
-        F.col(id_column).alias("__id"), F.col(label_column).cast("int").alias("label")
-    )
-    chosen = known.distinct().orderBy(F.xxhash64("__id"), "__id", "label").limit(sample)
-    named = docs.select(F.col(id_column).alias("__id"), F.col(text_column).alias("text"))
-    return named.join(F.broadcast(chosen), "__id").select("label", "text")
-
-
 def _word_counts(rows: DataFrame) -> DataFrame:
     """Documents per term and label; only a task's sums leave it."""
 
@@ -182,13 +172,16 @@ def train(
     text_column: str = "text",
     label_column: str = "toxic",
     sample: int = SAMPLE,
+    least_docs: int = LEAST_DOCS,
+    least_score: float = LEAST_SCORE,
 ) -> Model:
     """Model fitted on at most ``sample`` labelled rows, those of the least hashes of their ids.
 
-    Words are chosen by how their share of toxic documents stands out; the driver gets at most
-    ``WORDS`` words and the sample's word numbers.
+    A term of the sample has a weight if it occurs in ``least_docs`` of its documents and its share
+    of toxic ones stands out by ``least_score`` standard deviations; there is no limit on their
+    number. The driver gets those terms and the sample's term numbers.
     """
-    rows = _sampled(docs, labels, id_column, text_column, label_column, sample)
+    rows = stage(labelled_sample(docs, labels, id_column, text_column, label_column, sample), "labelled")
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("label") != 0).cast("long")).alias("t")).first()
     n, toxic = totals["n"], totals["t"] or 0
     if toxic in (0, n):
@@ -196,14 +189,7 @@ def train(
     rate = toxic / n
     seen = F.col("clean") + F.col("toxic")
     score = (F.col("toxic") - seen * rate) / F.sqrt(seen * rate * (1 - rate))
-    chosen = (
-        _word_counts(rows)
-        .filter(seen >= LEAST_DOCS)
-        .withColumn("score", score)
-        .filter(F.abs("score") >= LEAST_SCORE)
-        .orderBy(F.abs("score").desc(), "word")
-        .limit(WORDS)
-    )
+    chosen = _word_counts(rows).filter((seen >= least_docs) & (F.abs(score) >= least_score))
     words = sorted(r["word"] for r in chosen.collect())
     parts = sorted((r["label"], r["plain"], r["bags"]) for r in _instances(rows, words).collect())
     weights, bias = fit_noisy_or(
