@@ -17,7 +17,9 @@ from ..functions.labels import series_label
 from ..functions.numbers import parsed_or_zero, pct_change, rate_pct
 from ..functions.text import company_order
 from ..sources.contracts import HIL_GOV_METRICS, HIL_STEPS, SIGNUP_METRICS, require_columns
+from ..sources.staging import stage
 from .period import at_period, metric_columns
+from .quantiles import exact_quantiles
 
 # --- Fixed values -----------------------------------------------------------
 # Upper end of the histogram of each metric; companies above it are counted apart.
@@ -306,26 +308,11 @@ def distribution_histogram(
     )
 
 
-def value_counts(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
-    """Distinct values of a metric in a period with the number of companies.
-
-    Order statistics need all values in one place. Counts per distinct value, grouped in
-    parallel, are the smallest exact form of them: distinct counts that add up to N
-    events are fewer than ``sqrt(2 N)``, about a million for 10^12 events a period.
-    """
-    rows = at_period(df, period, value).where(F.col(metric).isNotNull())
-    return rows.groupBy(F.col(metric).alias("v")).agg(F.count("*").alias("n"))
-
-
-def _quantile(p: float) -> Column:
-    return F.percentile("v", p, F.col("n"))
-
-
 def distribution_stats(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
     """Companies, mean, median, sample deviation, minimum and maximum of a metric.
 
-    Mean and deviation are plain aggregates of the rows, fractions included; only the median
-    goes through the counted values.
+    Mean and deviation are plain aggregates of the rows; the median is selected without sorting
+    them all.
     """
     rows = at_period(df, period, value).where(F.col(metric).isNotNull())
     v = F.col(metric)
@@ -336,21 +323,21 @@ def distribution_stats(df: DataFrame, period: str, metric: str, value: date | No
         F.min(v).alias("min"),
         F.max(v).alias("max"),
     )
-    median = value_counts(df, period, metric, value).agg(_quantile(0.5).alias("median"))
+    median = exact_quantiles(rows, metric, [0.5]).select(F.col("q")[0])
     return sums.withColumn("median", median.scalar()).select("companies", "mean", "median", "std", "min", "max")
 
 
 def distribution_box(df: DataFrame, period: str, metric: str, value: date | None = None) -> DataFrame:
     """Quartiles, whiskers at 1.5 interquartile ranges, and the number of companies outside."""
-    counts = value_counts(df, period, metric, value)
-    quartiles = counts.agg(F.percentile("v", [0.25, 0.5, 0.75], F.col("n")).alias("q")).scalar()
-    fenced = counts.withColumn("q", quartiles)
+    rows = at_period(df, period, value).where(F.col(metric).isNotNull()).select(F.col(metric).alias("v"))
+    quartiles = exact_quantiles(rows, "v", [0.25, 0.5, 0.75]).select("q").scalar()
+    fenced = rows.withColumn("q", quartiles)
     q1, q3 = F.col("q")[0], F.col("q")[2]
     inside = F.col("v").between(q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1))
     return fenced.groupBy(q1.alias("q1"), F.col("q")[1].alias("median"), q3.alias("q3")).agg(
         F.min(F.when(inside, F.col("v"))).alias("lower_whisker"),
         F.max(F.when(inside, F.col("v"))).alias("upper_whisker"),
-        F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).alias("outliers"),
+        F.count_if(~inside).alias("outliers"),
         F.min("v").alias("min"),
         F.max("v").alias("max"),
     )
@@ -410,9 +397,9 @@ def big_decliners(
     df: DataFrame, period: str, metric: str, value: date | None = None, n: int = 15
 ) -> DataFrame:
     """Companies above the median of the scatter that lost most, rounded to two digits."""
-    scatter = change_scatter(df, period, metric, value)
-    counts = scatter.groupBy(F.col(metric).alias("v")).agg(F.count("*").alias("n"))
-    median = counts.agg(_quantile(0.5)).scalar()
+    # The period's rows are written once, with four columns, and read for the median and the ranking.
+    scatter = stage(change_scatter(df, period, metric, value), "scatter")
+    median = F.lit(exact_quantiles(scatter, metric, [0.5]).first()["q"][0]).cast("double")
     change = f"{metric}_wow"
     losing = scatter.where((F.col(metric) > median) & (F.col(change) < 0))
     return _rounded(_top(losing, F.asc(change), n), metric)
