@@ -101,27 +101,41 @@ def overview_row(totals: DataFrame, companies: DataFrame, period: str, value: da
 
 
 def metric_series(
-    df: DataFrame, family: str, period: str, keys: Sequence[str] = (), metrics: Sequence[str] | None = None
+    df: DataFrame,
+    family: str | Sequence[str],
+    period: str,
+    keys: Sequence[str] = (),
+    metrics: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Long form of one metric family for stacked charts, with display labels.
+    """Long form of one metric family, or of several, for stacked charts, with display labels.
 
     On totals ``keys`` is empty; on company rows it names the company. Apps without any
-    installation in the whole series are left out.
+    installation in the whole series are left out. The table is read once for all families, and a
+    wide row's cells are taken from an array of them, so that long rows aren't shuffled by key.
     """
-    columns = list(metrics) if metrics is not None else metric_columns(df.columns, family)
-    rows = df.select(*keys, period, *_one_type(df, columns))
-    long = rows.unpivot([*keys, period], columns, "series", "value")
-    if family == "app" and keys:
-        # One row of sums per key finds the apps in use before anything is spread to long form.
-        used = rows.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
-        used = used.unpivot([*keys], columns, "series", "__total").where("__total > 0").drop("__total")
-        long = long.join(used, [*keys, "series"], "left_semi")
-    elif family == "app":
+    families = [family] if isinstance(family, str) else list(family)
+    cells = {c: f for f in families for c in (metrics if metrics is not None else metric_columns(df.columns, f))}
+    rows = df.select(*keys, period, *_one_type(df, list(cells)))
+    apps = [c for c, f in cells.items() if f == "app"]
+    if apps and keys:
+        # One row of flags per key tells the apps in use before anything is spread to long form.
+        used = rows.groupBy(*keys).agg(F.array(*[F.coalesce(F.sum(c) > 0, F.lit(False)) for c in apps]).alias("__used"))
+        rows = rows.join(used, [*keys])
+
+    def cell(column: str, kind: str) -> Column:
+        shown = F.col("__used")[apps.index(column)] if keys and kind == "app" else F.lit(True)
+        plain = kind if kind not in ("message", "metric") else "plain"
+        label = series_label(F.lit(column), plain)
+        return F.struct(F.lit(column).alias("series"), F.col(column).alias("value"), label.alias("label"), shown.alias("shown"))
+
+    entries = F.filter(F.array(*[cell(c, f) for c, f in cells.items()]), lambda x: x["shown"])
+    long = rows.select(*keys, period, F.inline(entries)).drop("shown")
+    if apps and not keys:
         # Without a key there is one row per calendar period, so the series are few and short.
         whole = Window.partitionBy("series")
-        long = long.withColumn("__total", F.sum("value").over(whole)).where("__total > 0").drop("__total")
-    kind = "plain" if family in ("message", "metric") else family
-    return long.withColumn("label", series_label(F.col("series"), kind))
+        total = F.when(F.col("series").isin(apps), F.sum("value").over(whole)).otherwise(1)
+        long = long.withColumn("__total", total).where("__total > 0").drop("__total")
+    return long
 
 
 def top_companies(df: DataFrame, period: str, value: date | None = None, n: int = 10) -> DataFrame:

@@ -436,8 +436,7 @@ def overview_latest(spark, folder):
 @query
 def metric_series(spark, folder):
     totals = period.monthly_totals(merged(spark, folder))
-    parts = [views.metric_series(totals, family, MONTH) for family in ("message", "plan", "app", "stage")]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+    return views.metric_series(totals, ["message", "plan", "app", "stage"], MONTH)
 
 
 @query
@@ -447,7 +446,7 @@ def company_series(spark, folder):
 
 @query
 def series_label_forms(spark, folder):
-    """App labels of every app and the labels of whole page addresses."""
+    """Display labels of every app."""
     apps = standin(spark, folder, "apps").select(F.col("name"))
     column = F.concat(F.lit("marketplace_app_"), slug(F.col("name"), "unknown_app"))
     return apps.select("name", series_label(column, "app").alias("label"))

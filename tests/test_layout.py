@@ -191,3 +191,14 @@ def test_run_returns_the_table_by_week(spark, tmp_path):
     week = table.where(F.col(WEEK) == date(1999, 5, 30))
     assert f"PartitionFilters: [isnotnull({WEEK}" in re.sub(r"#\d+", "", plan(week)) and week.count() > 0
     assert table.columns[:3] == ["companyId", "companyName", WEEK]
+
+
+def test_series_read_the_table_once(spark):
+    text = plan(QUERIES["metric_series"](spark, SMALL))
+    assert text.count("FileScan") == 1
+
+
+def test_company_series_shuffle_no_long_rows(spark):
+    """The table's rows are spread to long form above every shuffle."""
+    text = plan(QUERIES["company_series"](spark, SMALL))
+    assert text.count("Generate") == 1 and "Exchange" not in text[: text.index("Generate inline")]
