@@ -372,7 +372,9 @@ def _token_batches(path: str, decoded: bool) -> Callable:
 def tokenized(docs: DataFrame, path: str, text_column: str = "text", decoded: bool = False) -> DataFrame:
     """``docs`` with a last column ``tokens`` (replacing one of that name), one row per input row.
 
-    With ``decoded``, ``decoded_sha256`` follows: the digest of the text that the tokens decode to.
+    With ``decoded``, ``decoded_sha256`` follows: the digest of the text that the tokens decode to. Null
+    and empty texts have no tokens and decode to an empty text. Repeated rows give repeated results, an
+    empty table an empty one. Other columns stay; a column may have any name but ``__text``.
     """
     more = [StructField("tokens", ArrayType(IntegerType()))]
     if decoded:

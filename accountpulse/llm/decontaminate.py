@@ -194,7 +194,12 @@ def drop_contaminated(
     rate: float = RATE,
     block_chars: int = BLOCK_CHARS,
 ) -> DataFrame:
-    """The rows of ``docs`` in whose text no item is found, with all their columns."""
+    """The rows of ``docs`` in whose text no item is found, with all their columns.
+
+    Null and empty texts hold no item and stay, null and empty items are in no text. Repeated rows stay or
+    go together. An empty table gives an empty result, an empty benchmark the whole table. A column
+    may have any name but ``__text``.
+    """
 
     def clean(items: tuple) -> Callable:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -86,7 +86,8 @@ def drop_duplicates(
     """The rows of ``docs`` that stay, with all their columns; cases as in ``duplicate_groups``.
 
     Rows are found again by id and digest. Where rows repeat both, an aggregate of its own over
-    just those rows keeps one; it combines before its shuffle.
+    just those rows keeps one; it combines before its shuffle. A column may have any name but
+    ``__own``, ``__id`` and ``__digest``.
     """
     rows = _digests(docs, id_column, text_column)
     key = ["__id", "__digest"]

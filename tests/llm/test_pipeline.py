@@ -8,12 +8,13 @@ import pytest
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from accountpulse.llm import decontaminate
+from accountpulse.llm import bpe, decontaminate
 from accountpulse.llm.common import table
 from accountpulse.llm.oracle import ORACLE
 from accountpulse.llm.queries import QUERIES, VOCABULARY
 from checks.compare import connect, differences
 
+from . import awkward
 from .test_dedup import fingerprint, grouped, lowered
 
 FOLDER = "/root/testdata/sf0.001"
@@ -86,3 +87,22 @@ def test_no_stage_reads_less(spark):
         assert text.count(".limit(") == text.count(".limit(sample)"), path
 
 
+
+
+def test_stages_with_awkward_rows(spark):
+    """Nulls, empty and long texts, repeated rows and clashing names in every stage that works row by row."""
+    rows = awkward.documents()
+    docs = awkward.frame(spark, rows)
+    library = Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+    coded = bpe.tokenized(docs, public_tokenizers.path(VOCABULARY), decoded=True)
+    assert coded.columns == [*docs.columns, "tokens", "decoded_sha256"]
+    got = sorted((str(r["doc_id"]), str(r["text"]), tuple(r["tokens"])) for r in coded.collect())
+    assert got == sorted((str(r[0]), str(r[1]), tuple(library.encode(r[1] or "", add_special_tokens=False).ids)) for r in rows)
+    items = spark.createDataFrame([(1, rows[0][1]), (2, None), (3, ""), (4, rows[5][1]), (None, rows[0][1])], "item_id long, text string")
+    clean = decontaminate.drop_contaminated(docs, items)
+    stays = [r["text"] for r in clean.collect()]
+    assert clean.columns == docs.columns and rows[0][1] not in stays and rows[5][1] not in stays
+    assert sum(t is None for t in stays) == sum(r[1] is None for r in rows) and "" in stays
+    assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == len(rows)
+    for function in (lambda d: bpe.tokenized(d, public_tokenizers.path(VOCABULARY)), lambda d: decontaminate.drop_contaminated(d, items)):
+        assert function(awkward.empty(spark)).collect() == []
