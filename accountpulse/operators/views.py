@@ -173,7 +173,7 @@ def company_history(changed: DataFrame, company_id: str, period: str) -> DataFra
 
 
 def company_snapshot(
-    changed: DataFrame,
+    df: DataFrame,
     period: str,
     value: date | None = None,
     company_id: str | None = None,
@@ -181,21 +181,41 @@ def company_snapshot(
 ) -> DataFrame:
     """Newest row of a company beside its row of a chosen period, or the newest again.
 
-    Works for one company or for all of them in one pass. The rows are compared as a whole, so
-    Spark aggregates them by sorting; ``changed`` is sorted by company already where it comes from
-    ``period_change``.
+    Works for one company or for all of them. An aggregate of dates finds the two periods; their values
+    then come by a lookup, with the newest value before each for its change. Both are hash aggregates
+    of numbers: no row is sorted, and changes are taken for the two rows that are shown, not for the
+    whole history. A table that has its changes already gives those.
     """
-    rows = changed if company_id is None else changed.where(F.col("companyId") == company_id)
-    values = [c for m in metrics for c in (m, f"{m}_wow") if c in changed.columns]
-    row = F.struct(F.col(period).alias("period"), *values)
-    chosen = F.lit(None).cast("date") if value is None else F.lit(value)
-    picked = rows.groupBy("companyId").agg(
-        F.max_by(row, period).alias("latest"), F.max(F.when(F.col(period) == chosen, row)).alias("selected")
+    rows = df if company_id is None else df.where(F.col("companyId") == company_id)
+    metrics = [m for m in metrics if m in df.columns]
+    given = [f"{m}_wow" for m in metrics if f"{m}_wow" in df.columns]
+    day, latest, selected = F.col(period), F.col("__latest"), F.col("__selected")
+    newest = F.max(day)
+    chosen = newest if value is None else F.coalesce(F.max(F.when(day == F.lit(value), day)), newest)
+    dates = rows.groupBy("companyId").agg(newest.alias("__latest"), chosen.alias("__selected"))
+    sides = {"latest": latest, "selected": selected}
+    shown = {f"{side}_{c}": F.max(F.when(day == at, F.col(c))) for side, at in sides.items() for c in (*metrics, *given)}
+    before = {
+        f"__{side}_{m}": F.max_by(m, F.when(day < at, day)) for side, at in sides.items() for m in metrics if f"{m}_wow" not in given
+    }
+    slim = rows.select("companyId", period, *metrics, *given)
+    found = slim.join(dates, "companyId").groupBy("companyId", "__latest", "__selected").agg(
+        *[c.alias(name) for name, c in {**shown, **before}.items()]
     )
-    picked = picked.withColumn("selected", F.coalesce("selected", "latest"))
-    return picked.select(
+
+    def column(side: str, name: str) -> Column:
+        metric = name.removesuffix("_wow")
+        if name in metrics or name in given:
+            return F.col(f"{side}_{name}")
+        return pct_change(F.col(f"{side}_{metric}"), F.col(f"__{side}_{metric}")).alias(f"{side}_{name}")
+
+    return found.select(
         "companyId",
-        *[F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in ("latest", "selected") for c in ("period", *values)],
+        *[
+            c
+            for side, at in sides.items()
+            for c in (at.alias(f"{side}_period"), *[column(side, n) for m in metrics for n in (m, f"{m}_wow")])
+        ],
     )
 
 

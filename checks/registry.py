@@ -477,8 +477,7 @@ def company_history(spark, folder):
 @query
 def company_snapshot(spark, folder):
     metrics = ["execution_count", "connect_licenses"]
-    changed = _changed(spark, folder, metrics)
-    return views.company_snapshot(changed, WEEK, SOME_WEEK, metrics=metrics)
+    return views.company_snapshot(merged(spark, folder), WEEK, SOME_WEEK, metrics=metrics)
 
 
 @query

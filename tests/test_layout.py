@@ -202,3 +202,24 @@ def test_company_series_shuffle_no_long_rows(spark):
     """The table's rows are spread to long form above every shuffle."""
     text = plan(QUERIES["company_series"](spark, SMALL))
     assert text.count("Generate") == 1 and "Exchange" not in text[: text.index("Generate inline")]
+
+
+def test_snapshot_sorts_nothing(spark):
+    text = plan(QUERIES["company_snapshot"](spark, SMALL))
+    assert "Window" not in text and "SortAggregate" not in text
+
+
+@pytest.mark.parametrize("value", [None, date(2025, 1, 12), date(2030, 1, 6)])
+def test_snapshot_with_and_without_given_changes(spark, value):
+    df = rows(spark, 60).withColumn("execution_count", F.expr("if(execution_count % 7 = 0, null, execution_count % 5)"))
+    df = df.dropDuplicates(["companyId", WEEK])
+    metrics = ["execution_count"]
+    changed = period.period_change(df, metrics, WEEK)
+    assert set(changed.columns) > set(df.columns)
+    ours = views.company_snapshot(df, WEEK, value, metrics=metrics)
+    theirs = views.company_snapshot(changed, WEEK, value, metrics=metrics)
+    assert ours.columns == theirs.columns
+    written = stage(changed, "changed")
+    assert sorted(views.company_snapshot(written, WEEK, value, metrics=metrics).collect(), key=str) == sorted(
+        views.company_snapshot(written.drop("execution_count_wow"), WEEK, value, metrics=metrics).collect(), key=str
+    )
