@@ -17,7 +17,6 @@ from ..functions.numbers import parsed_or_zero
 from ..functions.text import BILLED_TYPES, contains_any, is_external
 from ..functions.weeks import WEEK, calendar_bounds, since, week_end_sunday
 from ..sources.contracts import HIL_STEPS, KYC_STAGES
-from .joins import left_lookup
 
 # --- Fixed values -----------------------------------------------------------
 # Words that mark internal and test accounts; callers add their own company name.
@@ -126,45 +125,50 @@ def kyc_hil_government_weekly(
 ) -> DataFrame:
     """Sessions, government answers and human-review outcomes per company and week.
 
-    The steps are read once and shrink to one row per session, week and document check before
-    anything is joined. The steps of a session are written close together, so most of that happens
-    on the map side, and a check or a session with very many steps is a few rows in the joins. Only
-    document checks with an id can have an answer; the other rows have no key and are spread.
-    Counting distinct sessions is counting rows of the last grouping.
+    Steps are counted by session, week, outcome and answer: one count per group on the map side and in
+    the shuffle, where a sum per reported column would take eleven. Only document checks with an id can
+    have an answer; those alone travel to the checks, counted per session, week and check, and the other
+    steps don't wait for them. A check or a session with very many steps is thus a few rows in the joins.
+    Sessions are counted by the first of their rows in a week.
     """
     step, status = F.col("stepName"), F.col("status")
+    outcome = F.when(status == "Approved", 1).when(status == "Disapproved", 2).otherwise(0)
     reviewed = F.col("enableHumanInLoop") == 1
-    conditions = {}
-    for short, stage in HIL_STEPS.items():
-        conditions[f"hil_{short}_total"] = reviewed & (step == stage)
-        conditions[f"hil_{short}_approved"] = reviewed & (step == stage) & (status == "Approved")
-        conditions[f"hil_{short}_disapproved"] = reviewed & (step == stage) & (status == "Disapproved")
-
+    hil = F.coalesce(*[F.when(reviewed & (step == stage), outcome + 3 * i) for i, stage in enumerate(HIL_STEPS.values())])
     check = F.when(step == "document_check", F.col("documentCheckId"))
-    per_check = (
-        _stage_steps(steps, start)
-        .groupBy("biometricId", week_end_sunday("createdAt").alias(WEEK), check.alias("checkId"))
-        .agg(*[_count_if(c).alias(name) for name, c in conditions.items()], F.count("*").alias("steps"))
+    slim = _stage_steps(steps, start).select(
+        "biometricId", week_end_sunday("createdAt").alias(WEEK), hil.alias("hil"), check.alias("checkId")
     )
-    answered = left_lookup(
-        per_check, doc_checks.select("id", "entityResponse"), "checkId", F.struct("biometricId", WEEK)
+    per_check = slim.where(F.col("checkId").isNotNull()).groupBy(*slim.columns).agg(F.count("*").alias("steps"))
+    entity = F.col("entityResponse")
+    answers = doc_checks.select(F.col("id").alias("checkId"), F.when(entity == 1, 1).when(entity == 0, 0).alias("answer"))
+    answered = per_check.join(answers, "checkId", "left").drop("checkId")
+    others = slim.where(F.col("checkId").isNull()).drop("checkId")
+    others = others.withColumns({"steps": F.lit(1).cast("bigint"), "answer": F.lit(None).cast("int")})
+    per_session = answered.unionByName(others).groupBy("biometricId", WEEK, "hil", "answer").agg(F.sum("steps").alias("steps"))
+
+    # The window's order by session and week is the join's as well, so rows are sorted once for both.
+    week_before = F.lag(WEEK).over(Window.partitionBy("biometricId").orderBy(WEEK))
+    first = F.when(week_before == F.col(WEEK), 0).otherwise(1)
+    counted = (
+        per_session.withColumn("sessions", first)
+        .join(_owned_sessions(sessions), "biometricId")
+        .groupBy("companyId", WEEK, "hil", "answer")
+        .agg(F.sum("steps").alias("steps"), F.sum("sessions").alias("sessions"))
     )
 
-    def answers(value: int) -> Column:
-        return F.coalesce(F.sum(F.when(F.col("entityResponse") == value, F.col("steps"))), F.lit(0))
+    def steps_of(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col("steps"))), F.lit(0))
 
-    names = ["gov_validated", "gov_not_validated", *conditions]
-    per_session = answered.groupBy("biometricId", WEEK).agg(
-        answers(1).alias("gov_validated"),
-        answers(0).alias("gov_not_validated"),
-        *[F.sum(name).alias(name) for name in conditions],
-    )
-    sums = (
-        per_session.join(_owned_sessions(sessions), "biometricId")
-        .groupBy("companyId", WEEK)
-        .agg(F.count("*").alias("kyc_sessions_total"), *[F.sum(name).alias(name) for name in names])
+    conditions = {"gov_validated": F.col("answer") == 1, "gov_not_validated": F.col("answer") == 0}
+    for i, short in enumerate(HIL_STEPS):
+        conditions[f"hil_{short}_total"] = F.col("hil").between(3 * i, 3 * i + 2)
+        conditions[f"hil_{short}_approved"] = F.col("hil") == 3 * i + 1
+        conditions[f"hil_{short}_disapproved"] = F.col("hil") == 3 * i + 2
+    sums = counted.groupBy("companyId", WEEK).agg(
+        F.sum("sessions").alias("kyc_sessions_total"), *[steps_of(c).alias(name) for name, c in conditions.items()]
     )
-    return sums.select("companyId", _company_name(), WEEK, "kyc_sessions_total", *names)
+    return sums.select("companyId", _company_name(), WEEK, "kyc_sessions_total", *conditions)
 
 
 # --- Licences ---------------------------------------------------------------

@@ -248,3 +248,60 @@ def test_steps_without_some_details(spark):
     assert identity.steps_enriched(steps, sessions).columns == [*steps.columns, "session_companyId"]
     got = identity.steps_enriched(steps, sessions, liveness=liveness)
     assert got.where("liveness_otpCode IS NOT NULL").count() == chained(*enrichment(spark)).where("liveness_otpCode IS NOT NULL").count()
+
+
+def outcomes(spark):
+    """Steps of sessions over several weeks; some checks have two answers and some sessions two companies."""
+    n = F.col("id")
+    steps = spark.range(0, 6000, 1, 5).select(
+        F.when(n % 13 != 0, F.concat(F.lit("s"), n % 70)).alias("biometricId"),
+        F.element_at(F.array(*map(F.lit, ["document_check", "liveness", "facematch", "otp"])), (n % 4 + 1).cast("int")).alias("stepName"),
+        F.when(n % 3 == 0, "Approved").when(n % 3 == 1, "Disapproved").when(n % 7 != 0, "Fraud").alias("status"),
+        F.when(n % 5 != 0, (n % 2).cast("int")).alias("enableHumanInLoop"),
+        F.when(n % 11 != 0, n % 40).alias("documentCheckId"),
+        (F.lit(MON) + F.make_interval(days=(n % 23).cast("int"))).cast("timestamp_ntz").alias("createdAt"),
+    )
+    sessions = spark.range(80).where("id % 9 <> 0").union(spark.range(3)).select(
+        F.concat(F.lit("s"), "id").alias("id"), F.when(F.col("id") % 8 != 0, F.col("id") % 6).alias("companyId")
+    )
+    checks = spark.range(30).select("id", F.when(F.col("id") % 4 != 0, F.col("id") % 3).cast("int").alias("entityResponse"))
+    return steps, sessions, checks.union(spark.range(5).selectExpr("id", "1")).union(spark.range(1).selectExpr("CAST(NULL AS BIGINT)", "1"))
+
+
+def test_steps_are_counted_by_outcome_before_the_session_join(spark):
+    """One count per group below the join, not a sum for each reported column."""
+    tables = outcomes(spark)
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__enabled="false"):
+        got = weekly.kyc_hil_government_weekly(*tables, "2025-01-01")
+        text = plan(got)
+    below = text[text.index("SortMergeJoin [biometricId"):]
+    functions = re.findall(r"HashAggregate\(keys=\[biometricId.*?functions=\[(.*?)\](?:, output|\))", below)
+    assert functions and all(len(re.findall(r"(?:sum|count)\(", f)) == 1 for f in functions)
+
+    steps, sessions, checks = ([r.asDict() for r in df.collect()] for df in tables)
+    want, seen = {}, set()
+    for s in steps:
+        if s["stepName"] == "otp":
+            continue
+        week = (s["createdAt"] + timedelta(days=6 - s["createdAt"].weekday())).date()
+        check = s["documentCheckId"] if s["stepName"] == "document_check" else None
+        answers = [c["entityResponse"] for c in checks if check is not None and c["id"] == check] or [None]
+        for owner in (o["companyId"] for o in sessions if o["id"] == s["biometricId"] and o["companyId"] is not None):
+            row = want.setdefault((owner, week), Counter())
+            row["kyc_sessions_total"] += (s["biometricId"], week) not in seen
+            for answer in answers:
+                row["gov_validated"] += answer == 1
+                row["gov_not_validated"] += answer == 0
+                if s["enableHumanInLoop"] == 1:
+                    short = s["stepName"].replace("document_check", "doccheck")
+                    row[f"hil_{short}_total"] += 1
+                    row[f"hil_{short}_approved"] += s["status"] == "Approved"
+                    row[f"hil_{short}_disapproved"] += s["status"] == "Disapproved"
+        seen.add((s["biometricId"], week))
+    rows = {(r.companyId, r.week_end_sunday): r.asDict() for r in got.collect()}
+    assert rows.keys() == want.keys() and len(rows) > 10
+    for key, row in rows.items():
+        assert row["companyName"] == f"Company {key[0]}"
+        for name, value in row.items():
+            if name not in ("companyId", "companyName", "week_end_sunday"):
+                assert value == want[key][name], (key, name)
