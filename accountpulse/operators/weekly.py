@@ -191,7 +191,8 @@ def connect_items(
     """Active subscription items of one product with plan names, validity and quantity.
 
     No side is broadcast by hand: the plan table is small in practice, but only the
-    optimizer sees its real size.
+    optimizer sees its real size. The items are not sorted for their subscriptions: a task hashes
+    its share of the active ones, whose ids are the table's key, and the items stream past.
     """
     active = subscriptions.where(F.col("company_id").isNotNull() & (F.upper("status") == "ACTIVE")).select(
         F.col("id").alias("subscription_id"),
@@ -214,7 +215,7 @@ def connect_items(
         ),
     )
     return (
-        active.join(sold, "subscription_id")
+        sold.join(active.hint("shuffle_hash"), "subscription_id")
         .join(plans, "plan_tier_id")
         .select(
             "companyId", "plan_tier_name", "plan_tier_display_name", "period_start", "period_end", "license_qty"

@@ -305,3 +305,30 @@ def test_steps_are_counted_by_outcome_before_the_session_join(spark):
         for name, value in row.items():
             if name not in ("companyId", "companyName", "week_end_sunday"):
                 assert value == want[key][name], (key, name)
+
+
+def test_items_are_not_sorted_for_their_subscriptions(spark):
+    """A hot subscription, repeated ids on either side and items without a subscription; all links are kept."""
+    as_of = MON.date()
+    subscriptions = spark.range(300).union(spark.range(4)).select(
+        F.when(F.col("id") != 299, F.col("id")).alias("id"), (F.col("id") % 9).alias("company_id"),
+        F.when(F.col("id") % 5 != 0, "active").otherwise("canceled").alias("status"),
+        *[F.lit(as_of).alias(c) for c in ("current_period_start", "current_period_end", "cancel_at", "canceled_at")],
+    )
+    n = F.col("id")
+    items = spark.range(0, 9000, 1, 5).select(
+        F.when(n % 3 == 0, 1).when(n % 10 != 0, n % 400).alias("subscription_id"), (n % 3).alias("plan_tier_id"),
+        F.lit("p").alias("platform_product_id"), F.lit(2).alias("quantity"),
+    )
+    tiers = spark.range(3).select("id", F.lit("basic").alias("name"), F.lit("").alias("display_name"))
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1", spark__sql__adaptive__autoBroadcastJoinThreshold="-1"):
+        got = weekly.connect_items(subscriptions, items, tiers, "p", as_of)
+        text = plan(got)
+        rows = Counter(r.companyId for r in got.collect())
+    assert "ShuffledHashJoin [subscription_id" in text and "SortMergeJoin [subscription_id" not in text
+    held = Counter(r.subscription_id for r in items.collect() if r.subscription_id is not None)
+    want = Counter()
+    for r in subscriptions.collect():
+        if r.status == "active" and held[r.id]:
+            want[r.company_id] += held[r.id]
+    assert rows == want and max(want.values()) > 3000
